@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from factspark.llm.secrets import op1_secret_scan
 from factspark.llm.simhash import op9_simhash_near_dedup
+from factspark.llm.tokens import op2_token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op9_simhash_near_dedup,)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op9_simhash_near_dedup,)}
 
 
 def oracle_sql() -> dict[str, str]:
