@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from factspark.llm.embeddings import op10_embedding_near_dedup
 from factspark.llm.langid import op4_language_id
 from factspark.llm.secrets import op1_secret_scan
 from factspark.llm.simhash import op9_simhash_near_dedup
@@ -13,7 +14,7 @@ from factspark.llm.tokens import op2_token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op4_language_id, op9_simhash_near_dedup,)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op4_language_id, op9_simhash_near_dedup, op10_embedding_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
