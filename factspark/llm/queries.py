@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from factspark.llm.decontaminate import op8_benchmark_decontamination
 from factspark.llm.embeddings import op10_embedding_near_dedup
+from factspark.llm.html import op3_html_text
 from factspark.llm.langid import op4_language_id
 from factspark.llm.lines import OP5_SQL, op5_line_dedup
 from factspark.llm.mixing import op7_source_mixing
@@ -17,7 +18,7 @@ from factspark.llm.tokens import op2_token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op4_language_id, op5_line_dedup, op7_source_mixing, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_embedding_near_dedup)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_html_text, op4_language_id, op5_line_dedup, op7_source_mixing, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_embedding_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
