@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from factspark.llm.chat import op6_chat_format
 from factspark.llm.decontaminate import op8_benchmark_decontamination
 from factspark.llm.embeddings import op10_embedding_near_dedup
 from factspark.llm.html import op3_html_text
@@ -18,7 +19,7 @@ from factspark.llm.tokens import op2_token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_html_text, op4_language_id, op5_line_dedup, op7_source_mixing, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_embedding_near_dedup)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_html_text, op4_language_id, op5_line_dedup, op6_chat_format, op7_source_mixing, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_embedding_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
