@@ -151,12 +151,13 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     tie goes to the language that is first in the alphabet. Rows that repeat are
     returned as often as they came; an empty table gives an empty result.
     """
-    cast = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("__text"), *(F.col(c) for c in keep))
+    text = text_col if text_col in keep and docs.schema[text_col].dataType.simpleString() == "string" else "__text"
+    cast = docs.select(F.col(id_col).alias("id"), *([] if text in keep else [F.col(text_col).cast("string").alias(text)]), *(F.col(c) for c in keep))
     model = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = model.value
-        for rows, data, offsets in blocks(batches, "__text", _BLOCK):
+        for rows, data, offsets in blocks(batches, text, _BLOCK):
             for at in range(0, rows.num_rows, _ROWS):
                 part = rows.slice(at, _ROWS)
                 edges = offsets[at : at + part.num_rows + 1]

@@ -19,7 +19,9 @@ from factspark.llm.tokens import op2_token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_html_text, op4_language_id, op5_line_dedup, op6_chat_format, op7_source_mixing, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_embedding_near_dedup)}
+    import corpus_pipeline
+
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_html_text, op4_language_id, op5_line_dedup, op6_chat_format, op7_source_mixing, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_embedding_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
