@@ -61,9 +61,12 @@ def normalize_name(text: Column) -> Column:
     """
     marks, source, target, many = _folds()
     expand = F.str_to_map(F.lit("\x01".join(f"{a}\x02{b}" for a, b in many.items())), F.lit("\x01"), F.lit("\x02"))  # one literal, folded once
-    rare = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in many) + "]"
-    spelled = F.when(text.rlike(rare), F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(expand, c), c)), "")).otherwise(text)
-    plain = F.translate(F.regexp_replace(spelled, marks, ""), source, target)
+    # The long classes and the map are for the few texts, and characters, beyond Latin-1 and its fractions.
+    far = lambda c: (c >= "\u0100") | c.between("\u00bc", "\u00be")
+    each = F.transform(F.split(text, ""), lambda c: F.when(far(c), F.coalesce(F.try_element_at(expand, c), c)).otherwise(c))
+    spelled = F.when(text.rlike("[\\u00BC-\\u00BE\\u0100-\\x{10FFFF}]"), F.array_join(each, "")).otherwise(text)
+    unmarked = F.when(text.rlike("[\\u0300-\\x{10FFFF}]"), F.regexp_replace(spelled, marks, "")).otherwise(spelled)
+    plain = F.translate(unmarked, source, target)
     # Text in ASCII alone, by far the most common, takes none of these steps.
     folded = F.lower(F.when(text.rlike("[^\\x00-\\x7F]"), plain).otherwise(text))
     bare = F.regexp_replace(F.regexp_replace(folded, r"\([^)]*\)", ""), r"[^a-z0-9]+", " ")
