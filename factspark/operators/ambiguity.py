@@ -23,7 +23,9 @@ def competitors(subjects: DataFrame, names: DataFrame, most: int = 10, aliases:
     """
     wanted = subjects.select("row_id", F.col("qid").alias("own"), F.explode("names").alias("name"))
     wanted = wanted.select("row_id", "own", name_key(text.normalize_name(F.col("name")), F.col("name")).alias("key")).distinct()
-    known = (names if aliases else names.where("not is_alias")).select(F.col("qid").alias("competitor"), name_key(F.col("norm_name"), F.col("name")).alias("key"))
+    known = (names if aliases else names.where("not is_alias")).select(F.col("qid").alias("competitor"), name_key(F.col("norm_name"), F.col("name")).alias("key")).distinct()
+    # A subject needs the first ``most`` others of each name: one more than that, as it may be among them itself.
+    known = known.withColumn("__rn", F.row_number().over(Window.partitionBy("key").orderBy("competitor"))).where(F.col("__rn") <= most + 1).drop("__rn")
     met = wanted.join(known, "key").where("competitor <> own").select("row_id", "competitor").distinct()
     ranked = met.withColumn("__rn", F.row_number().over(Window.partitionBy("row_id").orderBy("competitor")))
     return ranked.where(F.col("__rn") <= most).drop("__rn")

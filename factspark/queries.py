@@ -353,18 +353,18 @@ def mutable_wording(spark, d):
 def answer_leak(spark, d):
     """JOIN-16, VAL-15: which texts hold which names.
 
-    A name may begin or end within a word of the text; what both must share is
-    the whole words in the middle of the name. So texts meet names of more than
-    six words by five of those, and only texts that do are compared.
+    A name may begin or end within a word of the text; the words in its middle
+    are whole words of both. So texts meet names by the longest of those, and
+    only texts that hold it are compared. (Names of one or two words, should
+    there be any, are compared with every text.)
     """
     names = _t(spark, d, "benchmark").select("item_id", text.normalize_name(F.col("text")).alias("m")).where("m <> ''").withColumn("w", F.split("m", " "))
     docs = _t(spark, d, "documents").select("doc_id", text.normalize_name(F.col("text")).alias("n"))
-    gram = lambda w, at: F.array_join(F.slice(w, at, F.lit(5)), " ")
-    long = names.where("size(w) > 6").select("item_id", "m", gram(F.col("w"), F.lit(2)).alias("gram"))
-    grams = docs.select("doc_id", F.split("n", " ").alias("w")).where("size(w) >= 5").select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 4), lambda i: gram(F.col("w"), i)))).alias("gram"))
-    met = grams.join(long, "gram").select("doc_id", "item_id", "m").distinct()
+    middle = F.slice("w", F.lit(2), F.size("w") - 2)
+    anchored = names.where("size(w) > 2").select("item_id", "m", F.array_max(F.transform(middle, lambda x: F.struct(F.length(x).alias("size"), x.alias("word"))))["word"].alias("word"))
+    met = docs.select("doc_id", F.explode(F.array_distinct(F.split("n", " "))).alias("word")).join(anchored, "word").select("doc_id", "item_id", "m")
     found = docs.join(met, "doc_id").where(F.contains("n", F.col("m"))).select("doc_id", "item_id")
-    short = docs.join(names.where("size(w) <= 6").select("item_id", "m"), F.contains("n", F.col("m"))).select("doc_id", "item_id")
+    short = docs.join(names.where("size(w) <= 2").select("item_id", "m"), F.contains("n", F.col("m"))).select("doc_id", "item_id")
     return found.unionByName(short).distinct()
 
 
