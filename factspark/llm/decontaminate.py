@@ -222,7 +222,7 @@ def _matches(items: Items, rows: np.ndarray, threshold: float, shared: dict[int,
     return out
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.6, share: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, share: float = 0.75, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``(id, item_id, score, first_word, last_word)`` for every text and item whose alignment reaches ``threshold``.
 
     The score is 1 for a whole copy. Of an item of L words, each one changed
