@@ -156,6 +156,27 @@ def full_statement_unique(statements: DataFrame, temporal_qualifiers: Sequence[s
     return groups.select("subject", "pid", ((F.col("n") == 1) & ~F.col("timed")).alias("is_unique"))
 
 
+def stable_counts(statements: DataFrame, pid: str, temporal_qualifiers: Sequence[str] = ("P580", "P582", "P585")) -> DataFrame:
+    """``(subject, n, is_stable)``: different values, and whether none of them is deprecated, preferred to others, or tied to a time."""
+    timed = F.exists(F.coalesce(F.map_keys("qualifiers"), F.array().cast("array<string>")), lambda k: k.isin(*temporal_qualifiers))
+    plain = F.coalesce(F.col("rank"), F.lit("normal")) == "normal"
+    rows = statements.where(F.col("pid") == pid)
+    return rows.groupBy("subject").agg(F.count_distinct(value_key()).alias("n"), F.bool_and(plain & ~F.coalesce(timed, F.lit(False))).alias("is_stable"))
+
+
+def claims_before(statements: DataFrame, pid: str, later_pid: str) -> DataFrame:
+    """``(subject, value_id, ended)``: the last claim of a property that ended by the start of the subject's first claim of another.
+
+    Both sides are reduced to what decides before they meet, so the join is by
+    subject and no pairs of claims are made.
+    """
+    end = F.get(F.try_element_at("qualifiers", F.lit("P582")), F.lit(0))["time"]
+    start = F.get(F.try_element_at("qualifiers", F.lit("P580")), F.lit(0))["time"]
+    first = statements.where(F.col("pid") == later_pid).groupBy("subject").agg(F.min(F.substring(start, 2, 10)).alias("begun")).where("begun is not null")
+    own = statements.where((F.col("pid") == pid) & F.col("value_id").isNotNull()).select("subject", "value_id", F.substring(end, 2, 10).alias("ended")).where("ended is not null")
+    return earliest_unique(own.join(first, "subject").where("ended <= begun").select("subject", "value_id", "ended").withColumn("__back", F.datediff(F.lit("9999-12-31"), F.col("ended").try_cast("date"))).where("__back is not null"), ["subject"], "__back").drop("__back")
+
+
 def path_connected(path: Column, source: str = "source_qid", target: str = "target_qid") -> Column:
     """Whether each hop's target is the next one's source; a missing end connects to nothing."""
     n = F.size(path)

@@ -80,13 +80,13 @@ def names_of(entities: DataFrame) -> DataFrame:
     return rows.select("qid", "x.name", normalize_name(F.col("x.name")).alias("norm_name"), "x.is_alias")
 
 
-def query_results(spark: SparkSession, path: str, variables: list[str]) -> DataFrame:
-    """The bindings of saved query results: for each variable its value, kind, type and, if it is an entity, its id."""
-    schema = _struct(results=_struct(bindings=T.ArrayType(_struct(**dict.fromkeys(variables, _BINDING)))))
-    rows = spark.read.schema(schema).json(path, multiLine=True)
-    if rows.where("results.bindings is null").limit(1).count():
-        raise ValueError(f"{path} holds a query result without bindings")
-    flat = rows.select(F.explode("results.bindings").alias("b"))
+def results_schema(variables: list[str]) -> T.StructType:
+    return _struct(results=_struct(bindings=T.ArrayType(_struct(**dict.fromkeys(variables, _BINDING)))))
+
+
+def bindings(results: DataFrame, variables: list[str]) -> DataFrame:
+    """For each variable of query results its value, kind and type and, if it is an entity, its id."""
+    flat = results.select(F.explode("results.bindings").alias("b"))
     columns = []
     for v in variables:
         b = F.col(f"b.{v}")
@@ -94,6 +94,14 @@ def query_results(spark: SparkSession, path: str, variables: list[str]) -> DataF
     return flat.select(*columns)
 
 
+def query_results(spark: SparkSession, path: str, variables: list[str]) -> DataFrame:
+    """The bindings of saved query results; ``ValueError`` if a file has none."""
+    rows = spark.read.schema(results_schema(variables)).json(path, multiLine=True)
+    if rows.where("results.bindings is null").limit(1).count():
+        raise ValueError(f"{path} holds a query result without bindings")
+    return bindings(rows, variables)
+
+
 def with_cache_key(requests: DataFrame, accept_col: str = "accept", url_col: str = "url") -> DataFrame:
     """The key under which a stored answer to a request is found."""
     return requests.withColumn("cache_key", cache_key(F.col(accept_col), F.col(url_col)))
