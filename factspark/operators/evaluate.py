@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factspark.functions import text
+from factspark.shipping import shipped
 
 GRADES = ("CORRECT", "INCORRECT", "NOT_ATTEMPTED")
 # Answers that say they are none.
@@ -67,5 +68,5 @@ def grade_rest(graded: DataFrame, factory: Callable[[], GraderClient], id_col: s
             yield pdf[["id"]].assign(asked=out)
 
     kind = graded.schema[id_col].dataType.simpleString()
-    asked = graded.where("grade is null").select(F.col(id_col).alias("id"), F.to_json(F.struct("question", "answer", "prediction")).alias("payload")).mapInPandas(ask, f"id {kind}, asked string")
+    asked = graded.where("grade is null").select(F.col(id_col).alias("id"), F.to_json(F.struct("question", "answer", "prediction")).alias("payload")).transform(shipped).mapInPandas(ask, f"id {kind}, asked string")
     return graded.join(asked.withColumnRenamed("id", "__id"), F.col(id_col) == F.col("__id"), "left").withColumn("grade", F.coalesce("grade", "asked")).drop("__id", "asked")

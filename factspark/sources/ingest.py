@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from factspark.functions.text import cache_key
 from factspark.plans.settings import Settings
+from factspark.shipping import shipped
 
 #: Answers worth another attempt. Fixed values.
 RETRY_STATUSES = (429, 500, 502, 503, 504)
@@ -58,7 +59,7 @@ def entity_requests(ids: DataFrame, base: str, id_col: str = "qid", per_request:
         if rest:
             yield pd.DataFrame({"ids": [rest]})
 
-    groups = ids.select(F.col(id_col).alias("id")).where("id is not null").distinct().mapInPandas(group, "ids array<string>")
+    groups = ids.select(F.col(id_col).alias("id")).where("id is not null").distinct().transform(shipped).mapInPandas(group, "ids array<string>")
     tail = F.lit("&props=labels|aliases|descriptions|claims&languages=en&format=json")
     return groups.select(F.concat(F.lit(f"{base}?action=wbgetentities&ids="), F.array_join(F.array_sort("ids"), "|"), tail).alias("url"), F.lit(accept).alias("accept"))
 
@@ -102,7 +103,7 @@ def fetch(requests: DataFrame, transport: Callable[[], Transport], attempts: int
             out = pd.DataFrame(rows, columns=names)
             yield out.astype({"http_status": "Int32"})
 
-    return requests.select("cache_key", "url", "accept").mapInPandas(run, ANSWERS)
+    return requests.select("cache_key", "url", "accept").transform(shipped).mapInPandas(run, ANSWERS)
 
 
 def documents_of(answers: DataFrame) -> DataFrame:
