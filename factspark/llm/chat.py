@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factspark.llm.common import checkpointed, table
+from factspark.shipping import shipped
 
 ROLES = ("system", "user", "assistant")
 # States: the role of the last turn so far, or the beginning.
@@ -165,7 +166,7 @@ def format_chats(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "tur
                 out.append(known[codes])
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in place] + [pa.array(out, pa.list_(pa.int64()))], names=[*place, "costs"])
 
-    matrices = roles.mapInArrow(measure, "key string, none boolean, chunk bigint, costs array<bigint>")
+    matrices = roles.transform(shipped).mapInArrow(measure, "key string, none boolean, chunk bigint, costs array<bigint>")
     chains = matrices.groupBy("key", "none").agg(F.array_sort(F.collect_list(F.struct("chunk", "costs"))).alias("chain"))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +178,7 @@ def format_chats(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "tur
             kind = pa.list_(pa.struct([("chunk", pa.int64()), ("first", pa.int32()), ("final", pa.int32()), ("is_last", pa.bool_())]))
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("none"), pa.array(out, kind)], names=["key", "none", "picked"])
 
-    borders = chains.mapInArrow(pick, "key string, none boolean, picked array<struct<chunk:bigint,first:int,final:int,is_last:boolean>>")
+    borders = chains.transform(shipped).mapInArrow(pick, "key string, none boolean, picked array<struct<chunk:bigint,first:int,final:int,is_last:boolean>>")
     borders = borders.select("key", "none", F.explode("picked").alias("x")).select("key", "none", "x.*")
     order = F.struct("turn", "role", F.sha2("text", 256).alias("digest"), "text")
     whole = rows.groupBy(place).agg(F.first("id").alias("id"), F.array_sort(F.collect_list(order)).alias("turns"))
@@ -202,7 +203,7 @@ def format_chats(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "tur
 
     kind = turns.schema[id_col].dataType.simpleString()
     ready = whole.select("id", "chunk", "turns", "first", "final", "is_last")
-    return ready.mapInArrow(fix, f"id {kind}, chunk bigint, n_turns bigint, n_merged bigint, n_relabelled bigint, n_inserted bigint, cost bigint, text string")
+    return ready.transform(shipped).mapInArrow(fix, f"id {kind}, chunk bigint, n_turns bigint, n_merged bigint, n_relabelled bigint, n_inserted bigint, cost bigint, text string")
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Arrow batches are cut into blocks of about this many bytes of text before
 #: numpy works on them, so that the memory of a Python worker stays bounded
 #: whatever the length of the texts (a single longer text is a block by itself).
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,17 @@ def utf8(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def repaired(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts with what isn't UTF-8 replaced (as it is wherever a text is decoded); most often just what was given."""
+    raw = data.tobytes()
+    try:
+        raw.decode()
+        return data, offsets
+    except UnicodeDecodeError:
+        rows = [raw[a:b].decode(errors="replace").encode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        return np.frombuffer(b"".join(rows), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the batches, with the bytes and offsets of their text, of about ``block_bytes`` each."""
     for batch in batches:

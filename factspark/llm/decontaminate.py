@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factspark.llm.common import blocks, table
+from factspark.shipping import shipped
 
 N = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -185,7 +186,7 @@ def gram_frequencies(docs: DataFrame, wanted: np.ndarray, text_col: str = "text"
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(wanted[some].view(np.int64)), pa.array(total[some])], names=["gram", "n"])
 
-    counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "gram bigint, n bigint")
+    counted = docs.select(F.col(text_col).cast("string").alias("text")).transform(shipped).mapInArrow(run, "gram bigint, n bigint")
     return counted.groupBy("gram").agg(F.sum("n").alias("n"))
 
 
@@ -264,7 +265,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, shar
                 columns = [rows.column("id").take(pa.array([x[0] for x in found], pa.int64())), pa.array([block.ids[x[1]] for x in found], types), *(pa.array([x[k] for x in found], t) for k, t in ((2, pa.float64()), (3, pa.int64()), (4, pa.int64())))]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "item_id", "score", "first_word", "last_word"])
 
-        part = texts.mapInArrow(run, schema)
+        part = texts.transform(shipped).mapInArrow(run, schema)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else texts.limit(0).select("id", F.lit(None).cast(item_kind).alias("item_id"), F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("first_word"), F.lit(0).cast("long").alias("last_word"))
 

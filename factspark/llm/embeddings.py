@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from factspark.llm.common import checkpointed, table
 from factspark.llm.components import components
+from factspark.shipping import shipped
 
 #: Rows of a list that are held in one block; a group of two blocks needs memory for twice as many vectors.
 BLOCK_ROWS = 2048
@@ -165,7 +166,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                     )
 
     kind = rows.schema["label"].dataType.simpleString()
-    described = classes.mapInArrow(describe, f"label {kind}, dim int, rep bigint, copies bigint, top array<int>, keys array<bigint>, v array<double>")
+    described = classes.transform(shipped).mapInArrow(describe, f"label {kind}, dim int, rep bigint, copies bigint, top array<int>, keys array<bigint>, v array<double>")
     # Vectors travel in the precision they came in.
     width = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
     entries = checkpointed(described.withColumn("v", F.col("v").cast(width)))
@@ -214,7 +215,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             ids, links, least = link_parts(keys, n["side"], n["rep"].copy(), n["copies"], top, _units(_matrix(own.column("v"), dim)), n["key"], bits, shared, threshold)
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links), pa.array(least)], names=["rep", "links", "least"])
 
-    found = checkpointed(tagged.select("place", "side", "dim", "key", "rep", "copies", "top", "v").mapInArrow(verify, "rep bigint, links bigint, least bigint"))
+    found = checkpointed(tagged.select("place", "side", "dim", "key", "rep", "copies", "top", "v").transform(shipped).mapInArrow(verify, "rep bigint, links bigint, least bigint"))
     linked = components(found, "rep", "least").withColumnsRenamed({"node": "rep", "component": "component_id"})
     counted = found.groupBy("rep").agg(F.sum("links").alias("links"))
     known = classes.join(counted, "rep", "left").join(linked, "rep", "left")

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factspark.llm.common import blocks, table
+from factspark.shipping import shipped
 
 # Elements by the part they have in the HTML standard's parsing and rendering sections.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
@@ -458,11 +459,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
         for rows, data, offsets in blocks(batches, "html"):
             raw, at = data.tobytes(), offsets.tolist()
             known = rows.column("html").is_valid().to_pylist()
-            out = [render(raw[a:b].decode()) if ok else None for a, b, ok in zip(at, at[1:], known, strict=False)]
+            out = [render(raw[a:b].decode(errors="replace")) if ok else None for a, b, ok in zip(at, at[1:], known, strict=False)]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(out, pa.string())], names=["id", "text"])
 
     kind = pages.schema[id_col].dataType.simpleString()
-    return pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html")).mapInArrow(run, f"id {kind}, text string")
+    return pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html")).transform(shipped).mapInArrow(run, f"id {kind}, text string")
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

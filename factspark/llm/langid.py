@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factspark.llm.common import blocks, table
+from factspark.shipping import shipped
 
 #: Slots for n-grams of one, two and three bytes.
 SLOTS = (256, 4096, 8192)
@@ -134,13 +135,13 @@ def train(docs: DataFrame, per_language: int = 400, landmarks: int = 160, id_col
     texts = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     # The sample has a fixed bound, so it may be broadcast whatever the size of the table.
     sample = texts.where("text is not null and lang is not null").join(F.broadcast(ids), "id").select("id", "h", "lang", "text")
-    got = sample.mapInArrow(run, f"id {kind}, h bigint, lang string, bits binary").orderBy("h", "id", "bits").collect()
+    got = sample.transform(shipped).mapInArrow(run, f"id {kind}, h bigint, lang string, bits binary").orderBy("h", "id", "bits").collect()
     rows = np.unpackbits(np.frombuffer(b"".join(bytes(r.bits) for r in got), np.uint8).reshape(len(got), -1), axis=1)[:, :WIDTH] if got else np.zeros((0, WIDTH), np.uint8)
     return fit(rows.astype(np.float32), [r.lang for r in got], landmarks)
 
 
 def _has_letter(text: bytes) -> bool:
-    return text.lower() != text.upper() or any(map(str.isalpha, text.decode()))
+    return text.lower() != text.upper() or any(map(str.isalpha, text.decode(errors="replace")))
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -174,7 +175,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(names, pa.string()), pa.array(score), *(part.column(c) for c in keep)], names=["id", "lang_pred", "score", *keep])
 
     kinds = {f.name: f.dataType.simpleString() for f in cast.schema}
-    return cast.mapInArrow(run, ", ".join(f"`{c}` {k}" for c, k in [("id", kinds["id"]), ("lang_pred", "string"), ("score", "double"), *((c, kinds[c]) for c in keep)]))
+    return cast.transform(shipped).mapInArrow(run, ", ".join(f"`{c}` {k}" for c, k in [("id", kinds["id"]), ("lang_pred", "string"), ("score", "double"), *((c, kinds[c]) for c in keep)]))
 
 
 def held_out(id_col: str) -> F.Column:

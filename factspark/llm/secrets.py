@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factspark.llm.common import blocks, table
+from factspark.shipping import shipped
 
 
 @dataclass(frozen=True)
@@ -218,13 +219,13 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "doc_id",
                 for i in np.flatnonzero(index.candidates(query)).tolist():
                     text = texts.get(i)
                     if text is None:
-                        text = texts[i] = raw[at[i] : at[i + 1]].decode()
+                        text = texts[i] = raw[at[i] : at[i + 1]].decode(errors="replace")
                     found[i] += [(m.start(), k, m.end()) for m in search(text) if m.end(rule.group) - m.start(rule.group) >= rule.least]
             spans = [[{"kind": rules[k].kind, "start": s, "end": e} for s, k, e in sorted(x)] for x in found]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(spans, kind)], names=["id", "spans"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).transform(shipped).mapInArrow(run, f"id {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>")
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

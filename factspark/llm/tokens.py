@@ -34,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factspark.llm.common import blocks, table
+from factspark.llm.common import blocks, repaired, table
+from factspark.shipping import shipped
 
 # Classes of code points. The letters that the split pattern's contractions name.
 LETTER, NUMBER, OTHER, SPACE, WHITE, APOSTROPHE, END = range(7)
@@ -283,6 +284,7 @@ class TokenCounter:
 
     def counts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The number of tokens of every text of a block."""
+        data, offsets = repaired(data, offsets)
         n, raw = len(offsets) - 1, data.tobytes()
         out = np.zeros(n, np.int64)
         owners = np.arange(n)
@@ -344,7 +346,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, id_col: str
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(offsets)), pa.array(tokens), pa.array(tokens > limit)], names=["id", "n_bytes", "n_tokens", "over_limit"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).transform(shipped).mapInArrow(run, f"id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,3 +92,9 @@ def test_edges(spark, library):
     want = lengths(library, [t or "" for t in texts])
     assert {r.id: r.n_tokens for r in rows if r.id is not None} == dict(enumerate(want))
     assert token_counts(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_text_that_is_not_utf8(spark, library):
+    df = spark.sql("select 1L as doc_id, cast(X'61ff62' as string) as text union all select 2L, 'ab'")
+    got = {r.id: r.n_tokens for r in token_counts(df, PATH).collect()}
+    assert got == {1: len(library.encode("a�b", add_special_tokens=False).ids), 2: 1}
