@@ -410,8 +410,12 @@ class _Page:
 def render(html: str) -> str:
     """The visible text of a page (or a part of one), laid out in lines. Never fails: what isn't understood is text."""
     page, n = _Page(), len(html)
-    at = int(html[:1] == "\ufeff")
+    at, last = int(html[:1] == "\ufeff"), html.rfind(">")
     while at < n:
+        if at > last:  # no tag ends any more: only a comment or declaration that is never closed isn't text
+            opened = html.find("<!", at)
+            page.text(html[at : opened if opened >= 0 else n])
+            break
         token = _TOKEN.search(html, at)
         if token is None:
             page.text(html[at:])

@@ -105,23 +105,28 @@ def fit(rows: np.ndarray, labels: list[str], landmarks: int = 160, ridge: float
     return Model(marks, root @ beta, languages)
 
 
-def training_ids(docs: DataFrame, per_language: int, id_col: str, lang_col: str) -> DataFrame:
-    """At most ``per_language`` labelled rows of each language: of each bucket of ids by hash, the one with the least hash."""
+def training_ids(docs: DataFrame, per_language: int, id_col: str, lang_col: str, most_languages: int = 100) -> DataFrame:
+    """At most ``per_language`` labelled rows of each language: of each bucket of ids by hash, the one with the least hash.
+
+    The ``most_languages`` labels with the most rows are languages, so the sample is bounded whatever the labels hold.
+    """
     mixed = F.xxhash64(F.col("id").cast("string"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang")).where("id is not null and lang is not null")
+    common = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages)
+    rows = rows.join(F.broadcast(common.select("lang")), "lang", "left_semi")
     rows = rows.select("id", "lang", F.pmod(mixed, F.lit(per_language)).alias("bucket"), mixed.alias("h"))
     return rows.groupBy("lang", "bucket").agg(F.min_by("id", "h").alias("id"), F.min("h").alias("h")).select("id", "h")
 
 
-def train(docs: DataFrame, per_language: int = 400, landmarks: int = 160, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """A model from a bounded sample of the rows: ``per_language`` texts of each language, ``landmarks`` landmarks.
+def train(docs: DataFrame, per_language: int = 400, landmarks: int = 160, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_languages: int = 100) -> Model:
+    """A model from a bounded sample of the rows: ``per_language`` texts of each of up to ``most_languages`` languages, ``landmarks`` landmarks.
 
     The driver gets one row of presence bits (about 1.6 kB) for each text of
     the sample, and no texts. Rows with a null id, text or language are left
     out; ids that repeat count as often as they occur in the sample. Without
     labelled rows the model knows no language and predicts ``und``.
     """
-    ids = training_ids(docs, per_language, id_col, lang_col)
+    ids = training_ids(docs, per_language, id_col, lang_col, most_languages)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

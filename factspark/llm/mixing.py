@@ -27,6 +27,8 @@ BUCKET_DIGITS = 3
 def schedule(parts: DataFrame) -> DataFrame:
     """``(source, k, slot, parts, period)``: the slots of one period, from ``(source, parts)``.
 
+    The fold takes time in proportion to the parts times the sources, in one
+    task: it is meant for up to some thousands of sources, whatever their size.
     ``k`` numbers a source's blocks in the period. Rows with fewer than one
     part are left out; of equal deadlines the source that sorts first is first.
     """

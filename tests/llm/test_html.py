@@ -66,7 +66,9 @@ def test_nesting_without_end_and_long_pages():
     assert render("<table><tr><td>" * 200 + "x") == "x"
     assert len(render("<p>word " * 50_000).split()) == 50_000
     assert render("<td colspan=99999999 rowspan=-5>x") == "x"
-    assert render('<a "' * 2000) != ""
+    assert render('<a "' * 100_000) != ""
+    assert render('<a "' * 100_000 + ">") == ""
+    assert render("x<p>y <!-- never closed <b") == "x\n\ny"
 
 
 def test_edges(spark):

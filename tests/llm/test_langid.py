@@ -77,3 +77,4 @@ def test_edges(spark):
 def test_the_sample_is_bounded(spark):
     df = spark.range(5000).selectExpr("id as doc_id", "concat('text ', id) as text", "if(id % 3 = 0, 'a', 'b') as lang")
     assert langid.training_ids(df, 50, "doc_id", "lang").count() == 100
+    assert langid.training_ids(df, 50, "doc_id", "lang", 1).join(df.where("lang = 'b'").selectExpr("doc_id as id"), "id").count() == 50
