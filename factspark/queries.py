@@ -628,3 +628,34 @@ def catalog_totals(spark, d):
 def catalog_export(spark, d):
     """PRJ-16, SNK-4: the catalog as text columns."""
     return report.catalog_rows(catalog.templates(spark))
+
+
+_RUN_TEMPLATES = "[active]\n" + "\n".join(f"orders_{p[0]} | Orders | Person | who_placed_order | {p} | order | P577 | P50 | customer | Who placed the {{subject_kind}} {{descriptor}}?" for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"))
+
+
+@query(rf"""
+with c as (
+  select o_orderpriority as p, 'O' || o_orderkey as subject, 'Order ' || o_orderkey as label, c_name as answer, cast(o_orderdate as date) as day,
+    row_number() over (partition by o_orderpriority order by cast(o_orderdate as date), 'O' || o_orderkey) as n
+  from orders join customer on o_custkey = c_custkey where cast(o_orderdate as date) between date '1996-01-01' and date '1999-06-30'),
+k as (select *, row_number() over (partition by p order by n) as m from c where n <= 500 and not regexp_matches(label, '{YEAR_SQL}'))
+select 'orders_' || p[1] as domain, 'Who placed the order ' || label || '?' as question, answer, subject as subject_qid, cast(day as varchar) as date_value from k where m = 1""")
+def question_run(spark, d):
+    """EXE-1, EXE-2, VAL-1 to VAL-20, SEL-1 to SEL-3, SNK-2: a whole run, with orders as subjects and their customers as answers."""
+    from factspark.plans import pipeline
+    from factspark.plans.settings import Settings
+    from factspark.sources.readers import names_of
+
+    orders, customers = _t(spark, d, "orders"), _t(spark, d, "customer")
+    subject, none = F.concat(F.lit("O"), F.col("o_orderkey").cast("string")), F.lit(None).cast("string")
+    row = lambda pid, item, time: orders.select(
+        subject.alias("subject"), F.lit(pid).alias("pid"), F.lit(0).alias("stmt_ord"), F.lit("normal").alias("rank"), F.lit("item" if time is none else "time").alias("value_kind"), item.alias("value_id"), time.alias("value_time"),
+        F.lit(11).alias("time_precision"), none.alias("value_text"), F.lit(None).cast("map<string,array<struct<id:string,time:string,precision:int,text:string>>>").alias("qualifiers"),
+    )
+    day = F.concat(F.lit("+"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
+    statements = row("P31", F.col("o_orderpriority"), none).unionByName(row("P577", none, day)).unionByName(row("P50", F.concat(F.lit("C"), F.col("o_custkey").cast("string")), none))
+    entity = lambda qid, label: (qid.alias("qid"), label.alias("label_en"), F.lit("").alias("description_en"), F.array().cast("array<string>").alias("aliases_en"))
+    entities = orders.select(*entity(subject, F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")))).unionByName(customers.select(*entity(F.concat(F.lit("C"), F.col("c_custkey").cast("string")), F.col("c_name"))))
+    tables = {"statements": statements, "entities": entities, "names": names_of(entities)}
+    result = pipeline.run(tables, catalog.templates(spark, _RUN_TEMPLATES), Settings("1996", run_date="1999-06-30"))
+    return result.accepted.select("domain", "question", "answer", "subject_qid", F.col("date_filter.value").alias("date_value"))
