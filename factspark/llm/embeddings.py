@@ -29,6 +29,8 @@ from factspark.shipping import shipped
 
 #: Rows of a list that are held in one block; a group of two blocks needs memory for twice as many vectors.
 BLOCK_ROWS = 2048
+#: Lists of more than a block, up to this many, are broadcast; beyond, vectors are joined to them.
+BROADCAST_LISTS = 100_000
 _SMALL = 48
 _ROWS = 2048
 
@@ -170,9 +172,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     # Vectors travel in the precision they came in.
     width = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
     entries = checkpointed(described.withColumn("v", F.col("v").cast(width)))
-    lists = entries.select("label", "dim", F.explode("keys").alias("key"), "rep").groupBy("label", "dim", "key").agg(F.count("*").alias("n")).where("n > 1")
-    lists = lists.select("label", "dim", "key", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
-    placed = entries.withColumn("key", F.explode("keys")).drop("keys").join(lists, ["label", "dim", "key"])
+    # Only lists of more than a block are looked up, of which there are few; the vectors are shuffled once, to their lists.
+    lists = entries.select("label", "dim", F.explode("keys").alias("key")).groupBy("label", "dim", "key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_ROWS)
+    long = checkpointed(lists.select("label", "dim", "key", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")))
+    side = F.broadcast(long) if long.count() <= BROADCAST_LISTS else long
+    placed = entries.withColumn("key", F.explode("keys")).drop("keys").join(side, ["label", "dim", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     placed = placed.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = placed.select(
