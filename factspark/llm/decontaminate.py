@@ -28,6 +28,8 @@ from factspark.shipping import shipped
 
 N = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: Half of a short item is common language: a match is worth so many equal words, or the whole item.
+LEAST_WORDS = 8
 #: Test items that travel together: a block holds at most so many items and characters.
 BLOCK_ITEMS, BLOCK_CHARS = 10_000, 16 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -203,7 +205,8 @@ def _matches(items: Items, rows: np.ndarray, threshold: float, shared: dict[int,
     out = []
     for i, places in shared.items():
         item = items.words[i]
-        known, need = items.vocabularies[i], threshold * len(item)
+        least = max(threshold, min(1.0, LEAST_WORDS / len(item)))
+        known, need = items.vocabularies[i], least * len(item)
         slack = max(4, len(item) // 2)
         windows: list[list[int]] = []
         for p, q in sorted(places, key=lambda x: x[0] - x[1]):
@@ -218,7 +221,7 @@ def _matches(items: Items, rows: np.ndarray, threshold: float, shared: dict[int,
             continue
         found = max(((*align(item, rows[a:b]), a) for a, b in windows), key=lambda x: (x[0], -x[3]))
         score = found[0] / (MATCH * len(item))
-        if score >= threshold:
+        if score >= least:
             out.append((i, score, found[1] + found[3], found[2] + found[3]))
     return out
 
@@ -228,7 +231,8 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, shar
 
     The score is 1 for a whole copy. Of an item of L words, each one changed
     costs 1.5 / L, each one left out 1.5 / L and each one added 0.5 / L. An item
-    of fewer than three words matches only texts that are no longer either. ``first_word`` and
+    of fewer than three words matches only texts that are no longer either, and
+    the threshold of an item of under 16 words is that of eight of its words. ``first_word`` and
     ``last_word`` (exclusive) number the words of the text. Only the best place
     of an item in a text is returned. Null texts and items, and those without
     words, match nothing; rows that repeat match each for itself; empty tables

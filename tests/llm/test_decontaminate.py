@@ -58,7 +58,7 @@ def test_whole_table_against_brute_force(spark):
             if sum(w in there for w in item) >= 0.5 * len(item):
                 code = {w: k for k, w in enumerate({*item, *doc})}
                 score = align(np.array([code[w] for w in item], np.uint64), np.array([code[w] for w in doc], np.uint64))[0]
-                if score >= 0.5 * 2 * len(item):
+                if score >= max(0.5, min(1, 8 / len(item))) * 2 * len(item):
                     want.add((d, i, round(score / 2 / len(item), 9)))
     rows = op8_benchmark_decontamination(spark, sf).collect()
     assert want and {(r.doc_id, r.item_id, round(r.score, 9)) for r in rows} == want and len(rows) == len(want)
@@ -97,3 +97,9 @@ def test_edges(spark, monkeypatch):
     want = [(d, i, 1.0) for d in (1, 1, 4, None) for i in (7, 7, None)] + [(6, 11, 1.0)]
     assert got == sorted(want, key=str)
     assert contaminated(docs.limit(0), items).count() == 0 and contaminated(docs, items.limit(0)).count() == 0
+
+
+def test_short_items_need_more(spark):
+    items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "one two three four five six"), (2, "one two three four five six seven eight and more"), (3, "zero one two three four five six seven eight nine x ten")], "doc_id long, text string")
+    assert {(r.id, r.score) for r in contaminated(docs, items).collect()} == {(2, 0.8), (3, 0.95)}
