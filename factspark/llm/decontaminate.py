@@ -1,12 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Test items are short and few, training documents are many. The n-grams of the
-items are counted over all documents first. For every item its rarer n-grams
-are its seeds: rarity is relative to the item's own n-grams, so an item that
-leaked into very many documents keeps its seeds. Seeds join documents with
-items; around the seeds that a document and an item share, a window of the
-document is aligned with the item word by word, and the best local alignment's
-score, as a share of the score of the item with itself, is the match.
+items are looked for in all documents first, and those that occur are the
+seeds. None is left out for being common: an edited copy may hold no other.
+Seeds join documents with items; around the seeds that a document and an item
+share, a window of the document is aligned with the item word by word, and the
+best local alignment's score, as a share of the score of the item with itself,
+is the match.
 
 Items are taken in blocks of bounded size, which travel to the executors;
 documents are read where they lie and never shuffled.
@@ -141,19 +141,15 @@ def _item_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return hashes, cuts, *grams(hashes, cuts)
 
 
-def _seeds(ids: list, texts: list[str], frequency: dict[int, int], share: float) -> Items:
-    """Of each item's different n-grams, the rarer ``share``, and all that are no more frequent than the last of those."""
+def _seeds(ids: list, texts: list[str], present: set[int]) -> Items:
+    """The items, with all of their n-grams that occur in a document as seeds."""
     hashes, cuts, gram, at = _item_grams(texts)
     owners: dict[int, list[tuple[int, int]]] = defaultdict(list)
     bounds = np.searchsorted(at, cuts)
     for i in range(len(ids)):
-        own = gram[bounds[i] : bounds[i + 1]].tolist()
-        by = sorted(frequency.get(g, 0) for g in set(own))
-        if by:
-            limit = by[max(0, int(np.ceil(share * len(by))) - 1)]
-            for g, place in zip(own, (at[bounds[i] : bounds[i + 1]] - cuts[i]).tolist(), strict=True):
-                if frequency.get(g, 0) <= limit:
-                    owners[g].append((i, place))
+        for g, place in zip(gram[bounds[i] : bounds[i + 1]].tolist(), (at[bounds[i] : bounds[i + 1]] - cuts[i]).tolist(), strict=True):
+            if g in present:
+                owners[g].append((i, place))
     keys = np.array(sorted(owners), np.uint64)
     own = [hashes[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
     return Items(ids, own, [frozenset(x.tolist()) for x in own], keys, [owners[k] for k in keys.tolist()])
@@ -226,7 +222,7 @@ def _matches(items: Items, rows: np.ndarray, threshold: float, shared: dict[int,
     return out
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, share: float = 0.75, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``(id, item_id, score, first_word, last_word)`` for every text and item whose alignment reaches ``threshold``.
 
     The score is 1 for a whole copy. Of an item of L words, each one changed
@@ -248,8 +244,8 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, shar
     for ids, bodies in _item_blocks(own):
         _, _, gram, _ = _item_grams(bodies)
         wanted = np.unique(gram)
-        frequency = {r.gram & 0xFFFFFFFFFFFFFFFF: r.n for r in gram_frequencies(texts, wanted).collect()}
-        known = spark.sparkContext.broadcast(_seeds(ids, bodies, frequency, share))
+        present = {r.gram & 0xFFFFFFFFFFFFFFFF for r in gram_frequencies(texts, wanted).collect()}
+        known = spark.sparkContext.broadcast(_seeds(ids, bodies, present))
 
         def run(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
             block = known.value

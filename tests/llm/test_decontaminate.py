@@ -103,3 +103,14 @@ def test_short_items_need_more(spark):
     items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "one two three four five six"), (2, "one two three four five six seven eight and more"), (3, "zero one two three four five six seven eight nine x ten")], "doc_id long, text string")
     assert {(r.id, r.score) for r in contaminated(docs, items).collect()} == {(2, 0.8), (3, 0.95)}
+
+
+def test_spaced_edits_without_the_words_of_an_exact_copy(spark):
+    item = [f"w{k}" for k in range(20)]
+    edited = [f"x{k}" if k in (2, 6, 10, 14, 18) else w for k, w in enumerate(item)]
+    docs = lambda *rows: spark.createDataFrame([(i, " ".join(["before", *r, "after"])) for i, r in enumerate(rows)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = lambda df: {(r.id, r.score) for r in contaminated(df, items).collect()}
+    assert found(docs(edited)) == {(0, 0.625)}
+    # The grams of the edited copy are the item's commonest.
+    assert found(docs(item, edited, item[3:6], item[7:10])) == {(0, 1.0), (1, 0.625)}
