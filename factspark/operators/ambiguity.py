@@ -98,3 +98,26 @@ def smallest_signature(subjects: DataFrame, facts: DataFrame, most: int = 3) ->
             level = more.where(F.col("next") > F.element_at("signature", -1)).select("row_id", F.array_append("signature", F.col("next")).alias("signature"), F.array_intersect("rivals", "also").alias("rivals"))
     best = found.groupBy("row_id").agg(F.min(F.struct("k", "signature")).alias("x"))
     return subjects.select("row_id").distinct().join(best, "row_id", "left").select("row_id", F.col("x.signature").alias("signature"))
+
+
+def unique_signature(entities: DataFrame, facts: DataFrame, most: int = 3) -> DataFrame:
+    """``(qid, signature)`` of every entity: the smallest set of descriptors, of ``most`` at most, that no other entity of its group has whole.
+
+    The same as ``smallest_signature`` with all others of the group as
+    competitors and nothing forbidden. Sets are counted within their group, so
+    no entity carries the others. ``entities`` has ``(qid, group)``; an entity
+    without a group has no competitors.
+    """
+    entities = entities.select("qid", "group").distinct()
+    clean = facts.where(~text.has_temporal_text(F.col("label"))).select("qid", F.concat_ws(": ", "kind", "label").alias("d")).distinct()
+    own = entities.join(clean, "qid")
+    alone = F.when(F.col("group").isNull(), F.col("qid"))
+    level, found = own.select("qid", "group", F.array("d").alias("signature")), None
+    for k in range(most):
+        good = level.groupBy("group", alone.alias("alone"), "signature").agg(F.count("*").alias("n"), F.min("qid").alias("qid")).where("n = 1").select("qid", F.lit(k).alias("k"), "signature")
+        found = good if found is None else found.unionByName(good)
+        if k < most - 1:
+            more = level.join(clean.withColumnRenamed("d", "next"), "qid").where(F.col("next") > F.element_at("signature", -1))
+            level = more.select("qid", "group", F.array_append("signature", F.col("next")).alias("signature"))
+    best = found.groupBy("qid").agg(F.min(F.struct("k", "signature")).alias("x"))
+    return entities.select("qid").distinct().join(best, "qid", "left").select("qid", F.col("x.signature").alias("signature"))

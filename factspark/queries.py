@@ -303,13 +303,17 @@ from a left join one on one.id = a.id left join two on two.id = a.id""")
 def smallest_signature(spark, d):
     """SEL-11, DSN-1, DSN-3, DSN-4: the fewest descriptors that tell a part from the others of its brand.
 
-    The parts are a fixed slice of the table, as the subjects of a question are.
+    As in the SQL, only every seventh part has a row, and only those are
+    compared; ``part_signatures`` takes any parts, whole tables too.
     """
-    part = _t(spark, d, "part").where("p_partkey % 7 = 0")
-    facts = part.select(F.col("p_partkey").alias("qid"), F.explode(F.array(F.struct(F.lit("size").alias("kind"), F.col("p_size").cast("string").alias("label")), F.struct(F.lit("type").alias("kind"), F.col("p_type").alias("label")))).alias("x")).select("qid", "x.kind", F.lit("").alias("pid"), "x.label")
-    rivals = part.groupBy("p_brand").agg(F.collect_set("p_partkey").alias("all"))
-    subjects = part.join(rivals, "p_brand").select(F.col("p_partkey").alias("row_id"), F.col("p_partkey").alias("qid"), F.array_remove("all", F.col("p_partkey")).alias("competitors"), F.array().cast("array<string>").alias("forbidden"))
-    return ambiguity.smallest_signature(subjects, facts).select(F.col("row_id").alias("id"), F.array_join("signature", "; ").alias("signature"))
+    return part_signatures(_t(spark, d, "part").where("p_partkey % 7 = 0"))
+
+
+def part_signatures(part):
+    """``(id, signature)`` of every part given, among all parts given of its brand."""
+    facts = part.select(F.col("p_partkey").alias("qid"), F.explode(F.array(F.struct(F.lit("size").alias("kind"), F.col("p_size").cast("string").alias("label")), F.struct(F.lit("type").alias("kind"), F.col("p_type").alias("label")))).alias("x")).select("qid", "x.kind", "x.label")
+    found = ambiguity.unique_signature(part.select(F.col("p_partkey").alias("qid"), F.col("p_brand").alias("group")), facts)
+    return found.select(F.col("qid").alias("id"), F.array_join("signature", "; ").alias("signature"))
 
 
 # -- text, dates --------------------------------------------------------------------------------------------------------------

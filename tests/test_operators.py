@@ -195,3 +195,20 @@ def test_streams(spark, tmp_path):
     assert {r.question_key for r in spark.read.parquet(f"{tmp_path}/q").collect()} == {"x", "y"} and spark.read.parquet(f"{tmp_path}/q").count() == 2
     questions.run_once(questions.event_counts(stream), f"{tmp_path}/e", f"{tmp_path}/ce")
     assert {(r.key, r.n, r.total) for r in spark.read.parquet(f"{tmp_path}/e").collect()} == {("a", 2, 3.0)}
+
+
+def test_signatures_of_the_whole_table_against_brute_force(spark):
+    from collections import Counter
+
+    from factspark import queries
+
+    part = spark.read.parquet("/root/testdata/sf0.01/part.parquet")
+    rows = part.select("p_partkey", "p_brand", F.concat(F.lit("size: "), "p_size"), F.concat(F.lit("type: "), "p_type")).collect()
+    one = Counter((b, d) for _, b, *ds in rows for d in ds)
+    two = Counter((b, *ds) for _, b, *ds in rows)
+    want = {i: min((d for d in ds if one[b, d] == 1), default="; ".join(ds) if two[b, *ds] == 1 else None) for i, b, *ds in rows}
+    got = queries.part_signatures(part).collect()
+    assert {r.id: r.signature for r in got} == want and len(got) == len(rows)
+    assert None in want.values() and any(";" in (s or "") for s in want.values())
+    none = spark.createDataFrame([(1, None, 5, "A"), (2, None, 5, "A"), (3, "B", 5, "A"), (4, "B", 5, "A")], "p_partkey long, p_brand string, p_size int, p_type string")
+    assert {r.id: r.signature for r in queries.part_signatures(none).collect()} == {1: "size: 5", 2: "size: 5", 3: None, 4: None}
