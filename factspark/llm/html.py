@@ -4,7 +4,7 @@ A tokenizer and tree builder walk the page once, with an explicit stack of open
 elements instead of recursion.  End tags that HTML lets authors leave out are
 implied (``p``, ``li``, ``dt``, ``td``, ``tr``, ``option`` ...), what a browser
 doesn't show (``head``, ``script``, ``hidden``, ``display:none`` by attribute or
-by a simple rule of the page's own style sheet ...) is left out, and boxes are
+by a simple rule of the page's own style sheets ...) is left out, and boxes are
 rendered as they are closed: blocks on lines of their own with blank lines
 where the default style sheet has margins, list items with their markers, and
 tables as aligned columns.
@@ -26,7 +26,7 @@ from factspark.shipping import shipped
 # Elements by the part they have in the HTML standard's parsing and rendering sections.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
 _RAW = frozenset("script style textarea title iframe noembed noframes xmp plaintext".split())
-_NOT_SHOWN = frozenset("head script style title template noscript iframe noembed noframes datalist audio video canvas object svg math area rp link meta base param source track colgroup".split())
+_NOT_SHOWN = frozenset("head script style title template noscript iframe noembed noframes datalist audio video canvas object area rp link meta base param source track colgroup".split())
 _MARGIN = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu dir blockquote pre figure table xmp listing plaintext fieldset".split())
 _BLOCK = _MARGIN | frozenset("html body div section article aside header footer nav main address center details summary dialog figcaption form hgroup hr legend li dt dd optgroup option search".split())
 _ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li listing main menu nav ol p pre search section summary table ul xmp plaintext".split())
@@ -54,11 +54,22 @@ _IMPLIED = {
 _TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*+>?|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']*+(?:\"[^\"]*+\"|'[^']*+'))*+[^>\"']*+|[^>]*+)>", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _BLANKS = re.compile(r"[ \t\n\f\r]+")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 _COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
-_HIDES = re.compile(r"display\s*:\s*none", re.I)
+_DISPLAY = re.compile(r"\s*display\s*:\s*([a-z-]+(?:\s+[a-z-]+)*|var\(.*\))\s*(!\s*important\s*)?", re.I | re.S)
+_CSS = re.compile(r"""/\*.*?(?:\*/|\Z)|"(?:[^"\\\n]|\\.)*+"?|'(?:[^'\\\n]|\\.)*+'?|\\.|[{};]|[^{};"'\\/]++|.""", re.S)
+_MEDIUM = re.compile(r"(?:(not|only)\s+)?([a-z-]+)\b(.*)", re.I | re.S)
+_OTHER_MEDIA = frozenset("print speech aural braille embossed handheld projection tty tv".split())
 _VISIBILITY = re.compile(r"visibility\s*:\s*(visible|hidden|collapse)", re.I)
 _SIMPLE = re.compile(r"[a-z][a-z0-9]*|[.#][\w-]+", re.I)
+# Foreign content: what ends it, what has text that is shown, and what is never shown.
+_ENDS_FOREIGN = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+_HTML_WITHIN = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+_FOREIGN_NOT_SHOWN = frozenset("defs desc metadata symbol clippath mask pattern marker annotation annotation-xml".split())
+_MATH_TOKENS = frozenset("mi mo mn ms mtext".split())
+_MATH_PARTS = frozenset("mfrac msub msup msubsup munder mover munderover mroot mmultiscripts mtable mtr".split())
+_UNQUOTED_SLASH = re.compile(r"=\s*[^\s\"'=]+/$")
+# Whether a condition holds for a screen; in doubt, rules that hide don't count and rules that show do.
+NO, DOUBT, YES = 0, 1, 2
 MOST_SPAN = 1000  # the standard's limit for colspan
 GUTTER = "  "
 
@@ -189,7 +200,7 @@ class _Table:
 
 
 class _Element:
-    __slots__ = ("name", "shown", "visible", "box", "table", "item", "step", "spans", "indent", "gap", "pre")
+    __slots__ = ("name", "shown", "visible", "box", "table", "item", "step", "spans", "indent", "gap", "pre", "line")
 
     def __init__(self, name: str, shown: bool, visible: bool) -> None:
         self.name, self.shown, self.visible = name, shown, visible
@@ -199,6 +210,7 @@ class _Element:
         self.step = 1
         self.spans = (1, 1)
         self.indent = self.gap = self.pre = 0
+        self.line = False  # a text of an image
 
 
 def _number(text: str | None, default: int, least: int = -(10**9), most: int = 10**9) -> int:
@@ -206,13 +218,61 @@ def _number(text: str | None, default: int, least: int = -(10**9), most: int = 1
     return max(least, min(most, int(found[1]))) if found else default
 
 
-def _hidden_by_style(css: str) -> set[str]:
-    """Simple selectors (an element, a class or an id alone) that the style sheet doesn't display."""
-    found: set[str] = set()
-    for selectors, body in _RULE.findall(_COMMENT.sub("", css)):
-        if _HIDES.search(body):
-            found |= {s.strip().lower() if s.strip()[:1] not in ".#" else s.strip() for s in selectors.split(",") if _SIMPLE.fullmatch(s.strip())}
-    return found
+def _media(queries: str) -> int:
+    """Whether a list of media queries holds for a screen of unknown size."""
+    return max((_medium(q.strip()) for q in queries.split(",")), default=YES)
+
+
+def _medium(query: str) -> int:
+    if not query:
+        return YES
+    found = _MEDIUM.fullmatch(query)
+    if not found or found[2].lower() in ("not", "only", "and", "or"):
+        return DOUBT  # features alone
+    kind = found[2].lower()
+    holds = YES if kind in ("all", "screen") else NO if kind in _OTHER_MEDIA else DOUBT
+    if holds == YES and found[3].strip():
+        holds = DOUBT
+    return YES - holds if (found[1] or "").lower() == "not" else holds
+
+
+def _displays(css: str, media: str = "") -> Iterator[tuple[str, tuple[int, int], bool]]:
+    """What the style sheet says of the display of simple selectors (an element, a class or an id alone), in order: the selector, (important, not in a layer), and whether it hides."""
+    # For each open block: the selectors that its declarations are for, whether it holds, and whether it is in a layer.
+    open_: list[tuple[list[str] | None, int, bool]] = [(None, _media(media), False)]
+    held: list[str] = []
+    for token in [*(m[0] for m in _CSS.finditer(css)), "}"]:
+        if token not in ("{", "}", ";"):
+            if not token.startswith("/*") and (held or not token.isspace()):
+                held.append(token)
+            continue
+        selectors, holds, layer = open_[-1]
+        if selectors is None and token == ";" and (not held or held[0].lstrip()[:1] != "@"):
+            held.append(token)  # a part of the next rule's selector, which it spoils
+            continue
+        part = "".join(held)
+        held.clear()
+        if token == "{":
+            prelude = part.strip()
+            name = prelude[1:].split(None, 1)[0].split("(")[0].lower() if prelude[:1] == "@" and prelude[1:].strip() else ""
+            if name == "media":
+                open_.append((selectors, min(holds, _media(prelude[6:])), layer))
+            elif name in ("supports", "container", "scope", "starting-style"):
+                open_.append((selectors, min(holds, DOUBT), layer))
+            elif name == "layer":
+                open_.append((selectors, holds, True))
+            elif prelude[:1] == "@" or selectors is not None:
+                open_.append(([], NO, layer))  # no style rules, or rules for what is within
+            else:
+                open_.append(([x.lower() if x[:1] not in ".#" else x for x in map(str.strip, prelude.split(",")) if _SIMPLE.fullmatch(x)], holds, layer))
+            continue
+        if selectors and holds != NO and (found := _DISPLAY.fullmatch(part)):
+            hides = found[1].lower() == "none"
+            if holds == YES or not hides:
+                for x in selectors:
+                    yield x, (int(bool(found[2])), int(not layer)), hides
+        if token == "}" and len(open_) > 1:
+            open_.pop()
 
 
 class _Page:
@@ -224,15 +284,46 @@ class _Page:
         self.open: dict[str, int] = {"html": 1}
         self.boxes = [self.page]
         self.tables: list[_Table] = []
-        self.hidden: set[str] = set()
+        self.displays: dict[str, tuple[tuple[int, int, int, int], bool]] = {}
+        self.rules = 0
+
+    # -- style sheets -------------------------------------------------------------------------------------------------
+
+    def style(self, css: str, raw: str) -> None:
+        """A style sheet, and the attributes of its tag."""
+        media = next((a or b or c for k, a, b, c in _ATTRIBUTE.findall(raw) if k.lower() == "media"), "")
+        for selector, (important, plain), hides in _displays(css, media):
+            self.rules += 1
+            rank = (important, plain, 2 if selector[0] == "#" else int(selector[0] == "."), self.rules)
+            if selector not in self.displays or rank > self.displays[selector][0]:
+                self.displays[selector] = (rank, hides)
+
+    def displayed(self, name: str, attributes: dict[str, str], style: str) -> bool:
+        """By the rules and its own style, of which the important ones, then its own, then those for ids, then classes, then the last win."""
+        found = []
+        if self.displays:
+            keys = (name, *(f".{c}" for c in (attributes.get("class") or "").split()), f"#{attributes.get('id')}")
+            found = [self.displays[k] for k in keys if k in self.displays]
+        if style:
+            for k, part in enumerate(_COMMENT.sub("", unescape(style)).split(";")):
+                if own := _DISPLAY.fullmatch(part):
+                    found.append(((int(bool(own[2])), 2, 0, k), own[1].lower() == "none"))
+        return not found or not max(found)[1]
 
     # -- the tree -----------------------------------------------------------------------------------------------------
 
+    def foreign(self) -> bool:
+        """Whether the next tag is one of SVG or MathML."""
+        return bool(self.open.get("svg") or self.open.get("math")) and next((e.name in ("svg", "math") for e in reversed(self.stack) if e.name in ("svg", "math") or e.name in _HTML_WITHIN), False)
+
     def start(self, name: str, raw: str) -> None:
         if name in ("html", "body", "frameset") or (name == "head" and self.open.get("head")):
             return
         if name not in _HEAD and self.open.get("head") and not self.open.get("noscript") and not self.open.get("template"):
             self.pop_to("head")
+        if name in _ENDS_FOREIGN:
+            while self.foreign():
+                self.pop()
         if name in _ENDS_P and self.open.get("p"):
             self.close_within("p", _SCOPE)
         if name in _IMPLIED:
@@ -250,8 +341,9 @@ class _Page:
         if name == "a" and self.open.get("a"):
             self.close_within("a", _SCOPE)
         attributes = {k.lower(): a or b or c for k, a, b, c in reversed(_ATTRIBUTE.findall(raw))} if raw.strip(" /\t\n\r\f") else {}
+        closed = name in _VOID or raw.endswith("/") and (name in ("svg", "math") or self.foreign()) and not _UNQUOTED_SLASH.search(raw)
         self.push(name, attributes)
-        if name in _VOID:
+        if closed:
             self.pop()
 
     def end(self, name: str) -> None:
@@ -300,9 +392,10 @@ class _Page:
     def push(self, name: str, attributes: dict[str, str]) -> None:
         above = self.stack[-1]
         style = attributes.get("style") or ""
-        shown = above.shown and name not in _NOT_SHOWN and "hidden" not in attributes and not _HIDES.search(style)
-        if shown and self.hidden:
-            shown = name not in self.hidden and not any(f".{c}" in self.hidden for c in (attributes.get("class") or "").split()) and f"#{attributes.get('id')}" not in self.hidden
+        shown = above.shown and name not in _NOT_SHOWN and "hidden" not in attributes and ((not style and not self.displays) or self.displayed(name, attributes, style))
+        svg = bool(self.open.get("svg"))
+        if shown and (svg or self.open.get("math")):
+            shown = name not in _FOREIGN_NOT_SHOWN and not (svg and attributes.get("display") == "none")
         if name == "input" or name == "dialog" and "open" not in attributes:
             shown = False
         if above.name == "details" and above.item is None and name != "summary":
@@ -321,6 +414,8 @@ class _Page:
                 self.tables.append(e.table)
             return
         box = self.boxes[-1]
+        if above.name in _MATH_PARTS and box.parts:
+            box.space = True
         if name == "br":
             box.end_line(True)
         elif name in ("td", "th", "caption") and self.tables:
@@ -329,6 +424,9 @@ class _Page:
             self.boxes.append(e.box)
         elif name == "tr" and self.tables:
             self.tables[-1].next_row()
+        elif name == "text" and svg:
+            e.line = True
+            box.block(0)
         elif name in _BLOCK:
             # Lists within lists have no margins.
             e.gap = int(name in _MARGIN and not (name in _LISTS and any(self.open.get(x, 0) > (x == name) for x in _LISTS)))
@@ -384,6 +482,8 @@ class _Page:
             box.pre, held = 0, box.pre
             box.rows(e.table.render())
             box.pre = held
+        if e.line:
+            box.block(0)
         if e.name in _BLOCK:
             if e.name == "li" and box.marker and not box.parts:
                 box.end_line(True)  # an item without text
@@ -398,6 +498,10 @@ class _Page:
         if self.open.get("head") and not data.isspace() and e.name == "head":
             self.pop_to("head")
             e = self.stack[-1]
+        if self.open.get("svg") and not self.open.get("text") and not self.open.get("foreignobject"):
+            return  # between the shapes of an image
+        if self.open.get("math") and e.name not in _MATH_TOKENS and data.isspace():
+            return
         if e.shown and e.visible and not (e.name == "details" and e.item is None) and e.name not in ("table", "tbody", "thead", "tfoot", "tr"):
             self.boxes[-1].text(unescape(data) if "&" in data else data)
         elif e.shown and e.visible and e.name in ("table", "tbody", "thead", "tfoot", "tr") and data.strip(" \t\n\f\r") and self.tables:
@@ -436,7 +540,7 @@ def render(html: str) -> str:
             stop = close.start() if close else n
             body = html[at:stop]
             if name == "style":
-                page.hidden |= _hidden_by_style(body)
+                page.style(body, token[3])
             elif name == "textarea":
                 page.text(body.removeprefix("\n"))
             elif name in ("xmp", "plaintext"):

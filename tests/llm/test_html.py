@@ -75,3 +75,31 @@ def test_edges(spark):
     df = spark.createDataFrame([(1, "<p>a", "t"), (1, "<p>a", None), (2, None, None), (3, "", None), (None, "x", None)], "page_id long, html string, text string")
     assert sorted(map(tuple, extract(df).collect()), key=str) == sorted([(1, "a"), (1, "a"), (2, None), (3, ""), (None, "x")], key=str)
     assert extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("html", "text"), [
+    ("<style>@media print{.nav,.body{display:none}}</style><p class=nav>n<p class=body>b", "n\n\nb"),
+    ("<style>@media (max-width:600px){.x{display:none}}</style><p class=x>a", "a"),
+    ("<style media=print>.x{display:none}</style><p class=x>a", "a"),
+    ("<style>@media screen{.x{display:none}}@media not print{.y{display:none}}</style><p class=x>a<p class=y>b<p>c", "c"),
+    ("<style>.x{display:none} @media (min-width:600px){.x{display:block}}</style><p class=x>a", "a"),
+    ("<style>.x{display:none} @media print{.x{display:block}}</style><p class=x>a<p>b", "b"),
+    ("<style>.x{display:none} .x{display:block}</style><p class=x>a", "a"),
+    ("<style>.x{display:none}</style><style>.x{display:flex}</style><p class=x>a", "a"),
+    ("<style>.x{display:none!important} .x{display:block}</style><p class=x>a<p>b", "b"),
+    ("<style>#i{display:block} p{display:none} .x{display:none}</style><p class=x id=i>a<p>b", "a"),
+    ("<style>.x{display:none}</style><p class=x style='display:block'>a", "a"),
+    ("<style>@import 'a';@font-face{src:url(x)}@keyframes k{p{display:none}}.x{content:'}';display:none}</style><p>a<p class=x>b", "a"),
+    ("<style>.c{p{display:none}} .d{color:red;@media print{display:none}}</style><p class=d>a", "a"),
+    ("a <math><mfrac><mn>1</mn><mn>2</mn></mfrac> <mo>=</mo> <mi>x</mi><annotation>tex</annotation></math> b", "a 1 2=x b"),
+    ("<svg><title>t</title><defs/><g> junk <text x=1>One <tspan>two</tspan></text><text>three</text></g></svg>", "One two\nthree"),
+    ("<svg><path d='M0'/><rect/></svg>a<svg><p>b", "a\n\nb"),
+])
+def test_media_later_rules_and_foreign_content(html, text):
+    assert render(html) == text
+
+
+def test_long_style_sheets():
+    assert render("<style>" + "@media print{" * 50_000 + ".x{display:none}" + "</style><p class=x>a") == "a"
+    assert render("<style>" + "\"'/{;" * 50_000 + "</style><p>a") == "a"
+    assert render("<style>" + "; " * 200_000 + "</style><p>a") == "a"
