@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factspark.storage import discard, stored
+
 
 def truthy(statements: DataFrame) -> DataFrame:
     """Statements of the best rank of their subject and property; deprecated ones never."""
@@ -25,33 +27,30 @@ def value_key(prefix: str = "") -> Column:
     return F.coalesce(F.col(f"{prefix}value_id"), F.col(f"{prefix}value_time"), F.col(f"{prefix}value_text"))
 
 
-def class_closure(subclass_of: DataFrame, roots: DataFrame | None = None, child: str = "child", parent: str = "parent", most_rounds: int = 100) -> DataFrame:
+def class_closure(subclass_of: DataFrame, roots: DataFrame | None = None, child: str = "child", parent: str = "parent", most_rounds: int | None = None) -> DataFrame:
     """``(cls, root)``: every class and the classes above it, itself included; with ``roots`` (one column), only those above.
 
-    Pairs are joined with the edges until no new ones come, so cycles end and
-    several paths are one pair. Each round is checkpointed.
+    The pairs that are new in a round are joined with the edges, until no new
+    ones come, so cycles end and several paths are one pair. Each round stores
+    its new pairs only; ``most_rounds`` stops a hierarchy that is too deep.
     """
     edges = subclass_of.select(F.col(child).alias("c"), F.col(parent).alias("p")).where("c is not null and p is not null").distinct()
     if roots is None:
         roots = edges.select(F.explode(F.array("c", "p")).alias("root"))
-    known = _stored(roots.select(F.col(roots.columns[0]).alias("root")).where("root is not null").distinct().select(F.col("root").alias("cls"), "root"))
-    edge, new = _stored(edges), known
-    for _ in range(most_rounds):
+    known = stored(roots.select(F.col(roots.columns[0]).alias("root")).where("root is not null").distinct().select(F.col("root").alias("cls"), "root"))
+    edge, new, rounds = stored(edges), known, 0
+    if edge.isEmpty():
+        return known
+    while True:
         step = new.join(edge, new["cls"] == edge["p"]).select(edge["c"].alias("cls"), "root").distinct()
-        new = _stored(step.join(known, ["cls", "root"], "left_anti"))
+        new = stored(step.join(known, ["cls", "root"], "left_anti"))
         if new.isEmpty():
+            discard(new)
             return known
-        known = _stored(known.unionByName(new))
-    raise ValueError(f"the class hierarchy is deeper than {most_rounds}")
-
-
-def _stored(df: DataFrame) -> DataFrame:
-    import tempfile
-
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+        rounds += 1
+        if most_rounds is not None and rounds >= most_rounds:
+            raise ValueError(f"the class hierarchy is deeper than {most_rounds}")
+        known = known.unionByName(new)
 
 
 def instances(statements: DataFrame, types: DataFrame, closure: DataFrame, type_pid: str = "P31") -> DataFrame:

@@ -14,6 +14,7 @@ from factspark.operators import ambiguity, graph, harvest, select, validate
 from factspark.operators import rewrite as rewriting
 from factspark.plans.settings import Settings
 from factspark.sources import sinks
+from factspark.storage import stored
 
 COLUMNS = schemas.CANDIDATES.names
 
@@ -40,7 +41,7 @@ def judge(candidates: DataFrame, tables: dict[str, DataFrame], templates: DataFr
     own = templates.select("tpl_ord", "subject_type_qid", "subject_type_label", "canonical_question_template", "composition_style")
     reason, note = validate.rejection(settings)
     rows = candidates.join(F.broadcast(own), "tpl_ord").withColumns({"rejection_reason": reason, "__note": note})
-    rows = graph._stored(rows)  # read three times below
+    rows = stored(rows)  # read three times below
     # Only candidates that pass the cheap rules are searched for competitors.
     passed = rows.where("rejection_reason is null")
     single = ambiguity.resolve(passed.where("composition_style = 'single_fact'"), tables["names"], tables["statements"], settings.competitor_limit)
@@ -78,11 +79,11 @@ def judge(candidates: DataFrame, tables: dict[str, DataFrame], templates: DataFr
 
 def finish(judged: DataFrame, settings: Settings, factory: Callable[[], rewriting.RewriteClient] | None = None) -> Result:
     """Rewrites what passed, selects, and makes the records."""
-    judged = graph._stored(judged)
+    judged = stored(judged)
     passed = rewriting.rewrite(judged.where("rejection_reason is null"), factory)
     rows = judged.where("rejection_reason is not null").unionByName(passed.select(*judged.columns))
     question = F.coalesce(F.nullif(F.col("rewritten_question"), F.lit("")), F.col("canonical_question"))
-    rows = graph._stored(rows.withColumns({"question": question, "ok": F.col("rejection_reason").isNull()}))
+    rows = stored(rows.withColumns({"question": question, "ok": F.col("rejection_reason").isNull()}))
     chosen = select.greedy(rows, settings.pilot_total, separate=settings.separate_templates)
     chosen = chosen.withColumns({
         "rejection_reason": F.when(F.col("is_duplicate"), "duplicate_question").otherwise(F.col("rejection_reason")),
