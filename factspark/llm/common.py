@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from factspark.storage import stored
+
 #: Arrow batches are cut into blocks of about this many bytes of text before
 #: numpy works on them, so that the memory of a Python worker stays bounded
 #: whatever the length of the texts (a single longer text is a block by itself).
@@ -21,12 +22,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df.checkpoint()`` in the cluster's folder; a folder of our own only where none is set."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+    """``df.checkpoint()`` in the cluster's folder (see ``factspark.storage``)."""
+    return stored(df)
+
+
+def fresh(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, each lengthened until it is none of the columns (in either case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def utf8(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -5,7 +5,8 @@ see; the rounds needed grow with the logarithm of the largest component's
 diameter. A round is two aggregations and two equi-joins over the edges, so no
 node's neighbours are ever gathered in one row; the neighbours of a hub are
 spread by adaptive skew handling.  Every round is checkpointed to the shared
-checkpoint folder, so a lost executor costs one round at most.
+checkpoint folder, so a lost executor costs one round at most; the round before
+is deleted then.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factspark.llm.common import checkpointed
+from factspark.storage import discard
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -31,6 +33,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         after = checkpointed(_small_star(large))
         # A fixed point is a forest of stars: every edge leads straight to a root that has no edge upwards.
         same = after.join(stars, ["u", "v"], "left_anti").isEmpty() and stars.join(after, ["u", "v"], "left_anti").isEmpty()
+        discard(stars)
         stars = after
         if same:
             break

@@ -14,7 +14,9 @@ its links' connected part), so neither lists nor results hold pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -31,27 +33,65 @@ from factspark.shipping import shipped
 BLOCK_ROWS = 2048
 #: Lists of more than a block, up to this many, are broadcast; beyond, vectors are joined to them.
 BROADCAST_LISTS = 100_000
+#: The sample that pivots are fitted on: for each of so many numbers of components (those that most vectors have), so many components in all.
+SAMPLE_DIMS, SAMPLE_COMPONENTS = 8, 1 << 20
 _SMALL = 48
 _ROWS = 2048
+#: Cosines that are this close to the threshold are settled by an exact sum.
+_CLOSE = 1e-12
 
 
 def choose_pivots(sample: np.ndarray, most: int, apart: float = 0.8) -> np.ndarray:
     """Up to ``most`` of the sample's unit vectors, in order, each at a cosine below ``apart`` from those before it.
 
     A large group of near copies gives one pivot, not a share of them: pivots
-    that are near one another order their neighbourhood by noise alone.
+    that are near one another order their neighbourhood by noise alone. Where
+    that gives less than an eighth of ``most``, the gap to 1 is halved, and
+    halved again, until there are that many or all different vectors are taken.
     """
     chosen: list[int] = []
     closest = np.full(len(sample), -2.0)
-    for i in range(len(sample)):
-        if len(chosen) == most:
-            break
-        if closest[i] < apart:
-            chosen.append(i)
-            np.maximum(closest, sample @ sample[i], out=closest)
+    gap = 1 - apart
+    while len(chosen) < max(1, most // 8) and gap > 1e-6:
+        for i in np.flatnonzero(closest < 1 - gap).tolist():
+            if len(chosen) == most:
+                break
+            if closest[i] < 1 - gap:
+                chosen.append(i)
+                np.maximum(closest, sample @ sample[i], out=closest)
+        gap /= 2
     return sample[chosen]
 
 
+@dataclass(frozen=True)
+class Marks:
+    """The pivots for one number of components, and the point from which vectors are looked at."""
+
+    centre: np.ndarray
+    pivots: np.ndarray
+
+    def nearness(self, units: np.ndarray) -> np.ndarray:
+        """The cosines with the pivots as seen from the centre: a narrow cone of vectors is spread out."""
+        seen = units - self.centre
+        return seen @ self.pivots.T / np.maximum(np.sqrt((seen * seen).sum(1, keepdims=True)), 1e-300)
+
+
+def fit_marks(sample: np.ndarray, most: int) -> Marks:
+    """Marks from the sample's unit vectors; a sample of equal vectors is looked at from the origin."""
+    centre = sample.mean(0)
+    seen = sample - centre
+    norm = np.sqrt((seen * seen).sum(1))
+    if norm.max() < 1e-9:
+        centre, seen, norm = np.zeros_like(centre), sample, np.ones(len(sample))
+    seen, norm = seen[norm >= 1e-9], norm[norm >= 1e-9]
+    return Marks(centre, choose_pivots(seen / norm[:, None], most))
+
+
+def random_marks(dim: int, most: int) -> Marks:
+    """Marks for numbers of components that too few vectors have to fit any: fixed directions."""
+    return Marks(np.zeros(dim), _units(np.random.default_rng(dim).normal(size=(most, dim))))
+
+
 def _units(rows: list | np.ndarray) -> np.ndarray:
     v = np.asarray(rows, np.float64)
     v = v / np.abs(v).max(1, keepdims=True)  # so that squares neither overflow nor vanish
@@ -78,17 +118,19 @@ def link_parts(keys: np.ndarray, side: np.ndarray, ids: np.ndarray, copies: np.n
         if not len(a):
             break
         a = a[(side[a] == 2) | (side[a] != side[a + d])]
-        a = a[np.einsum("ij,ij->i", units[a], units[a + d]) >= threshold]
+        a = a[_linked(units, a, a + d, np.einsum("ij,ij->i", units[a], units[a + d]), threshold)]
         lefts.append(a)
         rights.append(a + d)
     for start, size in zip(bounds[:-1][sizes > _SMALL].tolist(), sizes[sizes > _SMALL].tolist(), strict=True):
         x, s = units[start : start + size], side[start : start + size]
         first, second = (np.arange(size), np.arange(size)) if s[0] == 2 else (np.flatnonzero(s == 0), np.flatnonzero(s == 1))
-        a, b = np.nonzero(x[first] @ x[second].T >= threshold)
+        cosines = x[first] @ x[second].T
+        a, b = np.nonzero(cosines >= threshold - _CLOSE)
         if s[0] == 2:
             a, b = a[a < b], b[a < b]
-        lefts.append(first[a] + start)
-        rights.append(second[b] + start)
+        sure = _linked(x, first[a], second[b], cosines[a, b], threshold)
+        lefts.append(first[a[sure]] + start)
+        rights.append(second[b[sure]] + start)
     a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (lefts, rights))
     a_keys = np.zeros(len(a), np.int64)
     for at in range(0, len(a), 1 << 18):
@@ -112,6 +154,14 @@ def link_parts(keys: np.ndarray, side: np.ndarray, ids: np.ndarray, copies: np.n
     return ids[some], links[some], least[some]
 
 
+def _linked(units: np.ndarray, a: np.ndarray, b: np.ndarray, cosines: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs reach the threshold. Sums depend on their order in the last bits, so close cases are summed exactly, in lists of any size."""
+    out = cosines >= threshold
+    for k in np.flatnonzero(np.abs(cosines - threshold) < _CLOSE).tolist():
+        out[k] = math.fsum((units[a[k]] * units[b[k]]).tolist()) >= threshold
+    return out
+
+
 def _pack(pivots: np.ndarray, bits: int) -> np.ndarray:
     key = np.zeros(len(pivots), np.int64)
     for column in pivots.T:
@@ -127,26 +177,30 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     is null, empty or zero, holds null or non-finite components, or has a null
     id or label links with nothing and is a component by itself. ``n_links``
     counts other rows, copies included. Rows with the same id are vectors of
-    their own. An empty table gives an empty result.
-
-    The pivots are fitted on at most ``sample`` different vectors (for each
-    number of components), chosen by the hash of their ids; all vectors are
-    indexed. For larger tables raise ``pivots`` with the square root of the
-    rows of a label, to keep the lists short.
+    their own: each has the links of its own content. An empty table gives an
+    empty result.
+
+    The pivots are fitted on at most ``sample`` different vectors (and at most
+    2^20 components) for each of the eight numbers of components that most
+    vectors have, chosen by hash; for further numbers of components they are
+    fixed directions. All vectors are indexed. For larger tables raise
+    ``pivots`` with the square root of the rows of a label, to keep lists short.
     """
     if not 0 < shared <= nearest:
         raise ValueError("shared must be between 1 and nearest")
     bits = (pivots + nearest).bit_length()
     if bits * shared > 62:
         raise ValueError("a set of shared pivots must fit a long")
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
+    # Vectors travel in the precision they came in.
+    width = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast(width).alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    sound = rows.where(F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull()).where(finite & F.exists("v", lambda x: x != 0))
-    classes = checkpointed(sound.groupBy("label", "v").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
-    points = _pivots(classes, pivots, sample)
-    if not points:
-        return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    points = vectors.sparkSession.sparkContext.broadcast(points)
+    sound = F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0)
+    # A class is what has equal labels and vectors; it goes by a number of its own, and is found again by two hashes.
+    first, second = F.xxhash64("label", "v"), F.xxhash64(F.lit("class"), "label", "v")
+    grouped = rows.where(sound).groupBy("label", "v").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+    classes = checkpointed(grouped.select(F.monotonically_increasing_id().alias("cls"), first.alias("x"), second.alias("y"), "label", "v", "rep", "copies"))
+    marks = vectors.sparkSession.sparkContext.broadcast(_marks(classes, pivots, sample))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,34 +210,32 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                 for dim in np.unique(dims).tolist():
                     own = part.filter(pa.array(dims == dim))
                     units = _units(_matrix(own.column("v"), dim))
-                    marks = points.value[dim]
-                    near = np.argsort(-(units @ marks.T), axis=1, kind="stable")[:, :nearest]
+                    own_marks = marks.value.get(dim) or random_marks(dim, pivots)
+                    near = np.argsort(-own_marks.nearness(units), axis=1, kind="stable")[:, :nearest]
                     # Where there are fewer pivots than ``nearest``, numbers that are no pivot's stand in, the same ones for all.
-                    near = np.pad(near, ((0, 0), (0, nearest - near.shape[1])), constant_values=0) + np.where(np.arange(nearest) < near.shape[1], 0, len(marks) + np.arange(nearest) - near.shape[1])
+                    near = np.pad(near, ((0, 0), (0, nearest - near.shape[1])), constant_values=0) + np.where(np.arange(nearest) < near.shape[1], 0, len(own_marks.pivots) + np.arange(nearest) - near.shape[1])
                     top = np.sort(near, axis=1)
                     keys = np.stack([_pack(top[:, list(c)], bits) for c in combinations(range(nearest), shared)], 1)
                     yield pa.RecordBatch.from_arrays(
-                        [own.column("label"), pa.array([dim] * len(own), pa.int32()), own.column("rep"), own.column("copies"), pa.array(list(top.astype(np.int32)), pa.list_(pa.int32())), pa.array(list(keys), pa.list_(pa.int64())), own.column("v")],
-                        names=["label", "dim", "rep", "copies", "top", "keys", "v"],
+                        [own.column("label"), pa.array([dim] * len(own), pa.int32()), own.column("cls"), own.column("copies"), pa.array(list(top.astype(np.int32)), pa.list_(pa.int32())), pa.array(list(keys), pa.list_(pa.int64())), own.column("v")],
+                        names=["label", "dim", "cls", "copies", "top", "keys", "v"],
                     )
 
     kind = rows.schema["label"].dataType.simpleString()
-    described = classes.transform(shipped).mapInArrow(describe, f"label {kind}, dim int, rep bigint, copies bigint, top array<int>, keys array<bigint>, v array<double>")
-    # Vectors travel in the precision they came in.
-    width = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
-    entries = checkpointed(described.withColumn("v", F.col("v").cast(width)))
+    described = classes.select("label", "cls", "copies", "v").transform(shipped).mapInArrow(describe, f"label {kind}, dim int, cls bigint, copies bigint, top array<int>, keys array<bigint>, v {width}")
+    entries = checkpointed(described)
     # Only lists of more than a block are looked up, of which there are few; the vectors are shuffled once, to their lists.
     lists = entries.select("label", "dim", F.explode("keys").alias("key")).groupBy("label", "dim", "key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_ROWS)
     long = checkpointed(lists.select("label", "dim", "key", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")))
     side = F.broadcast(long) if long.count() <= BROADCAST_LISTS else long
     placed = entries.withColumn("key", F.explode("keys")).drop("keys").join(side, ["label", "dim", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    block = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
     placed = placed.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = placed.select(
         F.xxhash64("label", "dim", "key", F.least("block", "other"), F.greatest("block", "other")).alias("group"),
         F.struct("label", "dim", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).alias("place"),
         F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"),
-        "dim", "key", "rep", "copies", "top", "v",
+        "dim", "key", "cls", "copies", "top", "v",
     )
     spread = met.repartition("place").sortWithinPartitions("group", "place")
     tagged = spread.withColumn("place", F.to_json("place"))
@@ -215,31 +267,38 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             own = batch.filter(pa.array(dims == dim)) if (dims != dim).any() else batch
             keys = own.column("place").dictionary_encode().indices.to_numpy().astype(np.int64)
             top = np.asarray(own.column("top").flatten().to_numpy(), np.int64).reshape(len(own), nearest)
-            n = {c: own.column(c).to_numpy() for c in ("side", "rep", "copies", "key")}
-            ids, links, least = link_parts(keys, n["side"], n["rep"].copy(), n["copies"], top, _units(_matrix(own.column("v"), dim)), n["key"], bits, shared, threshold)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links), pa.array(least)], names=["rep", "links", "least"])
-
-    found = checkpointed(tagged.select("place", "side", "dim", "key", "rep", "copies", "top", "v").transform(shipped).mapInArrow(verify, "rep bigint, links bigint, least bigint"))
-    linked = components(found, "rep", "least").withColumnsRenamed({"node": "rep", "component": "component_id"})
-    counted = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    known = classes.join(counted, "rep", "left").join(linked, "rep", "left")
-    known = known.select("label", "v", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id"))
-    # Only classes that have something to say are joined back; stored, so that adaptive execution can split a hot vector.
-    known = checkpointed(known.where((F.col("n_links") > 0)))
-    out = rows.alias("r").join(known.alias("k"), (F.col("r.label") == F.col("k.label")) & (F.col("r.v") == F.col("k.v")) & F.col("r.id").isNotNull(), "left")
+            n = {c: own.column(c).to_numpy() for c in ("side", "cls", "copies", "key")}
+            ids, links, least = link_parts(keys, n["side"], n["cls"].copy(), n["copies"], top, _units(_matrix(own.column("v"), dim)), n["key"], bits, shared, threshold)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links), pa.array(least)], names=["cls", "links", "least"])
+
+    found = checkpointed(tagged.select("place", "side", "dim", "key", "cls", "copies", "top", "v").transform(shipped).mapInArrow(verify, "cls bigint, links bigint, least bigint"))
+    linked = components(found, "cls", "least").withColumnsRenamed({"node": "cls", "component": "root"})
+    facts = classes.select("cls", "x", "y", "rep", "copies")
+    # The least id of each component, over its classes.
+    least = linked.join(facts, "cls").groupBy("root").agg(F.min("rep").alias("component_id"))
+    counted = found.groupBy("cls").agg(F.sum("links").alias("links"))
+    known = facts.join(counted, "cls", "left").join(linked.join(least, "root").select("cls", "component_id"), "cls", "left")
+    known = known.select("x", "y", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id"))
+    # Only classes that have something to say are joined back; stored, so that adaptive execution can split a hot class.
+    known = checkpointed(known.where("n_links > 0"))
+    # Rows come back by their hashes, not by their vectors; those that link with nothing are spread by their ids and meet nothing.
+    asked = rows.select("id", F.when(sound, first).otherwise(F.xxhash64("id", F.rand(1))).alias("x"), F.when(sound, second).alias("y"))
+    out = asked.alias("r").join(known.alias("k"), (F.col("r.x") == F.col("k.x")) & (F.col("r.y") == F.col("k.y")), "left")
     return out.select(F.col("r.id").alias("id"), F.coalesce("k.n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("k.component_id", "r.id").alias("component_id"))
 
 
-def _pivots(classes: DataFrame, pivots: int, sample: int) -> dict[int, np.ndarray]:
-    """For each number of components, the pivots, from a bounded sample of the classes."""
-    h = F.xxhash64("rep")
-    rows = classes.select(F.size("v").alias("dim"), F.pmod(h, F.lit(sample)).alias("bucket"), h.alias("h"), "rep")
-    ids = rows.groupBy("dim", "bucket").agg(F.min_by("rep", "h").alias("rep")).select("rep")
-    got = classes.join(F.broadcast(ids), "rep", "left_semi").orderBy(F.xxhash64("rep"), "rep", "label", "v").select("v").collect()
-    by: dict[int, list] = {}
-    for r in got:
-        by.setdefault(len(r.v), []).append(r.v)
-    return {dim: choose_pivots(_units(rows), pivots) for dim, rows in by.items()}
+def _marks(classes: DataFrame, pivots: int, sample: int) -> dict[int, Marks]:
+    """For the numbers of components that most classes have, the marks, from a bounded sample of the classes."""
+    sizes = classes.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(SAMPLE_DIMS).collect()
+    out = {}
+    for dim in [r.dim for r in sizes if r.dim <= SAMPLE_COMPONENTS]:
+        h = F.xxhash64("x", "y")
+        buckets = max(1, min(sample, SAMPLE_COMPONENTS // dim))
+        rows = classes.where(F.size("v") == dim).select(F.pmod(h, F.lit(buckets)).alias("bucket"), h.alias("h"), "cls")
+        chosen = rows.groupBy("bucket").agg(F.min_by("cls", "h").alias("cls"))
+        got = classes.join(F.broadcast(chosen), "cls", "left_semi").orderBy(h, "y").select("v").toArrow()  # at most one class a bucket
+        out[dim] = fit_marks(_units(_matrix(got.column("v").combine_chunks(), dim)), pivots)
+    return out
 
 
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

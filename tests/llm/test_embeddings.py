@@ -77,3 +77,53 @@ def test_pivots_of_a_group_of_near_copies():
     v = np.concatenate([groups(rng, 1, 200), rng.normal(size=(50, 64))])
     v /= np.linalg.norm(v, axis=1)[:, None]
     assert len(choose_pivots(v, 256)) == 51
+    assert len(choose_pivots(v[:200], 256)) >= 32
+
+
+def test_a_cone_has_as_many_pivots_and_short_lists():
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(4000, 64)) / 8 + 3 * np.eye(64)[0]
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    assert 0.85 < (v[:500] @ v[500:1000].T).mean() < 0.95
+    marks = embeddings.fit_marks(v[:2048], 256)
+    assert len(marks.pivots) == 256
+    near = np.sort(np.argsort(-marks.nearness(v), 1)[:, :4], 1)
+    lists = np.unique(np.concatenate([near[:, [i, j]] for i in range(4) for j in range(i + 1, 4)]), axis=0, return_counts=True)[1]
+    assert lists.max() < 200
+
+
+def test_recall_in_a_cone(spark):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(700, 32)) / 32**0.5 + 3 * np.eye(32)[0]
+    v = np.concatenate([base, *(base[:150] + s * rng.normal(size=(150, 32)) for s in (0.01, 0.02, 0.04))]).astype(np.float32)
+    rows = [(i, x.tolist(), 1, None) for i, x in enumerate(v)]
+    want = slow(rows)
+    got = {r.id: r.n_links for r in near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(got[i] <= want[i][0] for i in got)
+    assert sum(got.values()) >= 0.9 * sum(n for n, _ in want)
+
+
+def test_rows_of_one_id_with_different_vectors(spark):
+    rows = [(1, [1.0, 0.0], 1, None), (1, [0.0, 1.0], 1, None), (2, [1.0, 0.001], 1, None), (1, [0.0, 1.0], 2, None), (0, [0.001, 1.0], 2, None)]
+    for given in (rows, rows[::-1]):
+        got = near_duplicates(spark.createDataFrame(given, SCHEMA).repartition(3)).collect()
+        assert sorted(map(tuple, got)) == sorted([(1, 1, 1), (1, 0, 1), (2, 1, 1), (1, 1, 0), (0, 1, 0)])
+
+
+def test_a_pair_at_the_threshold_does_not_depend_on_the_size_of_its_list():
+    rng = np.random.default_rng(8)
+    a = rng.normal(size=(4000, 64))
+    b = a + 0.2 * rng.normal(size=a.shape)
+    units = np.concatenate([a, b])
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    i = np.arange(4000)
+    one, other = np.einsum("ij,ij->i", units[i], units[i + 4000]), np.array([units[k] @ units[k + 4000] for k in i])
+    for k in i[:200]:
+        at = float(one[k])
+        assert (embeddings._linked(units, i, i + 4000, one, at) == embeddings._linked(units, i, i + 4000, other, at)).all()
+
+
+def test_many_numbers_of_components(spark):
+    rows = [(100 * d + k, [1.0 + k * 1e-3] + [0.5] * d, 1, None) for d in range(12) for k in range(3)]
+    got = {r.id: (r.n_links, r.component_id) for r in near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {100 * d + k: (2, 100 * d) for d in range(12) for k in range(3)}
