@@ -40,7 +40,7 @@ def test_scores_are_kernel_ridge_regression_when_every_text_is_a_landmark():
     kernel = np.array([[len(a & b) / (len(a) * len(b)) ** 0.5 for b in sets] for a in sets])
     target = np.array([[x == y for y in ("de", "en")] for x in labels], float)
     alpha = np.linalg.solve(kernel + 6 * 1e-3 * np.eye(6), target)
-    model = fit(rows, labels, landmarks=6)
+    model = fit(np.packbits(rows > 0, axis=1), labels, landmarks=6)
     assert np.allclose(model.scores(rows), kernel @ alpha, atol=1e-3)
 
 
@@ -76,5 +76,30 @@ def test_edges(spark):
 
 def test_the_sample_is_bounded(spark):
     df = spark.range(5000).selectExpr("id as doc_id", "concat('text ', id) as text", "if(id % 3 = 0, 'a', 'b') as lang")
-    assert langid.training_ids(df, 50, "doc_id", "lang").count() == 100
-    assert langid.training_ids(df, 50, "doc_id", "lang", 1).join(df.where("lang = 'b'").selectExpr("doc_id as id"), "id").count() == 50
+    assert langid.training_ids(df, 50, "doc_id", "lang").groupBy("lang").count().where("count = 50").count() == 2
+
+
+def test_an_id_that_repeats_counts_once_in_each_language(spark, monkeypatch):
+    hot = spark.range(2000).selectExpr("7L as doc_id", "concat('the cat sat ', id) as text", "if(id % 2 = 0, 'en', 'fr') as lang")
+    rest = spark.range(100, 140).selectExpr("id as doc_id", "concat('le chat ', id) as text", "'fr' as lang")
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda bits, labels, landmarks: seen.append((len(bits), sorted(labels))))
+    for df in (hot.unionByName(rest), rest.unionByName(hot.orderBy("text"))):
+        train(df, per_language=20)
+    assert seen[0] == seen[1] and seen[0][1].count("en") == 1 and seen[0][0] <= 21
+
+
+def test_every_label_is_a_language_however_many_there_are(spark):
+    letters = [a + b for a in "bcdfghjklm" for b in "npqrstvwxz"] + [a + "y" + b for a in "bcdfg" for b in "hjklm"]
+    df = spark.createDataFrame([(i, f"{w} {w * 2} {w * 3}", w) for i, w in enumerate(letters)], "doc_id long, text string, lang string")
+    model = train(df, most_rows=50)
+    assert len(model.languages) == 125 and len(model.landmarks) == 125
+    got = predict(df, model).join(df.selectExpr("doc_id as id", "lang"), "id")
+    assert got.where("lang = lang_pred").count() == 125
+
+
+def test_kept_columns_with_clashing_names(spark):
+    df = spark.createDataFrame([(1, "the cat", "en", 5.0, "x", "y")], "id long, text string, lang string, Score double, text_of_row string, lang_pred string")
+    out = predict(df, train(df, id_col="id"), "id", keep=("id", "text", "Score", "text_of_row", "lang_pred"))
+    assert out.columns == ["id", "lang_pred", "score", "text", "text_of_row"]
+    assert tuple(out.first())[3:] == ("the cat", "x") and out.first().lang_pred == "en"
