@@ -5,7 +5,8 @@ hold it, divided by all different pages of the host. Copies of a page count
 once, so that a page that was stored many times doesn't make its own lines
 boilerplate. Built-in functions only: lines are counted as pairs of 64-bit
 hashes with partial aggregation before each shuffle, and no text is shuffled
-while the boilerplate of all hosts is small enough to be broadcast.
+while the boilerplate of all hosts is small enough to be broadcast; beyond, texts
+are shuffled by page, never by host.
 """
 
 from __future__ import annotations
@@ -13,9 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factspark.llm.common import checkpointed, table
+from factspark.llm.common import checkpointed, fresh, table
 
-#: Boilerplate of all hosts up to this many lines (16 bytes each) is broadcast; beyond, the pages are joined to it by host.
+#: Boilerplate of all hosts up to this many lines (16 bytes each) is broadcast; beyond, each page is joined to its own.
 BROADCAST_LINES = 200_000
 
 
@@ -33,18 +34,26 @@ def _is_blank(line: Column) -> Column:
     return F.btrim(line, F.lit(" \t\r")) == ""
 
 
+def _keys(text: Column) -> Column:
+    """The keys of a text's lines, each once, blank ones left out."""
+    return F.array_distinct(F.transform(F.filter(_lines(text), lambda x: ~_is_blank(x)), _key))
+
+
 def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = 0.1, least_pages: int = 5) -> DataFrame:
-    """``(host, bad)``: the keys of each host's lines on more than ``ratio`` of its pages, and on ``least_pages`` pages or more.
+    """``(host, x, y)``: the keys of each host's lines on more than ``ratio`` of its pages, and on ``least_pages`` pages or more.
 
-    A host has less than (mean lines of a page) / ``ratio`` of them.
+    Pages are the different texts of a host (null is empty; rows that repeat are
+    one page). A line counts once a page; blank lines never do. The null host is
+    one like any other. A host has fewer such lines than (mean lines of a page)
+    / ``ratio``; an empty table has none.
     """
     pages = docs.select(F.col(host_col).cast("string").alias("host"), F.col(text_col).cast("string").alias("text"))
     pages = pages.select("host", F.xxhash64(F.coalesce("text", F.lit(""))).alias("page"), "text")
     totals = pages.groupBy("host").agg(F.count_distinct("page").alias("total"))
-    lines = pages.select("host", "page", F.explode(F.array_distinct(F.transform(F.filter(_lines(F.col("text")), lambda x: ~_is_blank(x)), _key))).alias("line"))
+    lines = pages.select("host", "page", F.explode(_keys(F.col("text"))).alias("line"))
     counts = lines.select("host", "page", "line.x", "line.y").groupBy("host", "x", "y").agg(F.count_distinct("page").alias("n")).where(F.col("n") >= least_pages)
     frequent = counts.alias("c").join(totals.alias("t"), F.col("c.host").eqNullSafe(F.col("t.host"))).where(F.col("n") > F.lit(ratio) * F.col("total"))
-    return frequent.groupBy(F.col("c.host").alias("host")).agg(F.collect_list(F.struct("x", "y")).alias("bad"))
+    return frequent.select("c.host", "x", "y")
 
 
 def line_dedup(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = 0.1, least_pages: int = 5) -> DataFrame:
@@ -53,26 +62,39 @@ def line_dedup(docs: DataFrame, host_col: str = "source", text_col: str = "text"
     Lines end at ``\\n`` and compare without blanks, tabs and carriage returns
     around them; blank lines are never counted nor dropped. Rows with a null
     host are a site of their own. A null text stays null (0 lines); a text of
-    boilerplate alone becomes empty. All rows and other columns are kept;
-    columns called ``n_lines`` or ``n_dropped`` are replaced. An empty table
-    gives an empty result.
+    boilerplate alone becomes empty. All rows and other columns are kept,
+    whatever they are called; columns called ``n_lines`` or ``n_dropped`` are
+    replaced. An empty table gives an empty result.
     """
-    bad = checkpointed(boilerplate(docs, host_col, text_col, ratio, least_pages).withColumnsRenamed({"host": "__host", "bad": "__bad"}))
-    size = bad.agg(F.sum(F.size("__bad"))).first()[0] or 0
-    side = F.broadcast(bad) if size <= BROADCAST_LINES else bad
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    joined = docs.select(kept).join(side, F.col(host_col).cast("string").eqNullSafe(F.col("__host")), "left")
-    lines = _lines(F.col(text_col))
-    clean = F.when(F.col("__bad").isNull(), lines).otherwise(F.filter(lines, lambda x: _is_blank(x) | ~F.array_contains("__bad", _key(x))))
-    joined = joined.withColumn("__clean", clean)
-    before, after = F.size(lines), F.size("__clean")
+    host, page, other, bad, clean = fresh(docs.columns, "host_of_row", "page_of_row", "page_of_row_2", "bad_lines", "clean_lines")
+    kept = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
+    found = checkpointed(boilerplate(docs, host_col, text_col, ratio, least_pages))
+    own_host, own_text = F.col(host_col).cast("string"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    if found.count() <= BROADCAST_LINES:
+        side = found.groupBy("host").agg(F.collect_list(F.struct("x", "y")).alias(bad)).withColumnRenamed("host", host)
+        joined = docs.select(*_quoted(kept)).join(F.broadcast(side), own_host.eqNullSafe(F.col(host)), "left")
+    else:
+        # Each page's own boilerplate, found by its lines; texts then meet it by page, of which none is as large as a host.
+        keys = [F.xxhash64(own_text), F.xxhash64(F.lit("page"), own_text)]
+        lines = docs.select(own_host.alias(host), keys[0].alias(page), keys[1].alias(other), F.explode(_keys(F.col(text_col).cast("string"))).alias("line"))
+        hit = lines.join(found, F.col(host).eqNullSafe(found["host"]) & (F.col("line.x") == found["x"]) & (F.col("line.y") == found["y"]), "left_semi")
+        side = hit.groupBy(host, page, other).agg(F.collect_set("line").alias(bad))
+        joined = docs.select(*_quoted(kept)).join(side, own_host.eqNullSafe(F.col(host)) & (keys[0] == F.col(page)) & (keys[1] == F.col(other)), "left")
+    lines = _lines(F.col(text_col).cast("string"))
+    left = F.when(F.col(bad).isNull(), lines).otherwise(F.filter(lines, lambda x: _is_blank(x) | ~F.array_contains(bad, _key(x))))
+    joined = joined.withColumn(clean, left)
+    before, after = F.size(lines), F.size(clean)
     return joined.select(
-        *(F.when(F.col(c).isNotNull(), F.array_join("__clean", "\n")).alias(c) if c == text_col else F.col(c) for c in kept),
+        *(F.when(F.col(text_col).isNotNull(), F.array_join(clean, "\n")).alias(c) if c == text_col else F.col(f"`{c}`") for c in kept),
         F.when(F.col(text_col).isNull(), 0).otherwise(before).cast("long").alias("n_lines"),
         F.when(F.col(text_col).isNull(), 0).otherwise(before - after).cast("long").alias("n_dropped"),
     )
 
 
+def _quoted(names: list[str]) -> list[Column]:
+    return [F.col(f"`{c}`") for c in names]
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its source's boilerplate lines: how many went, and a digest of what stays."""
     out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))

@@ -6,6 +6,7 @@ from factspark.llm import lines as module
 from factspark.llm.lines import line_dedup
 
 SCHEMA = "doc_id long, source string, text string, n_lines string, bad string, host string"
+CLASH = "doc_id long, source string, text string, N_Dropped string, `x.y` string, __host string, __bad string, __clean string, host_of_row string, Bad_Lines string, page string"
 
 
 def slow(rows, ratio=0.1, least=5):
@@ -42,3 +43,23 @@ def test_against_brute_force(spark, monkeypatch, most):
 
 def test_empty(spark):
     assert line_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("most", [0, 200_000])
+def test_clashing_names(spark, monkeypatch, most):
+    monkeypatch.setattr(module, "BROADCAST_LINES", most)
+    rows = [(i, "a", f"menu\nbody {i}", *"dxhbcrlp") for i in range(12)]
+    out = line_dedup(spark.createDataFrame(rows, CLASH))
+    assert out.columns == ["doc_id", "source", "text", "x.y", "__host", "__bad", "__clean", "host_of_row", "Bad_Lines", "page", "n_lines", "n_dropped"]
+    assert sorted(map(tuple, out.collect())) == [(i, "a", f"body {i}", *"xhbcrlp", 2, 1) for i in range(12)]
+
+
+def test_a_hot_host_is_not_one_task_beyond_the_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(module, "BROADCAST_LINES", 0)
+    df = spark.range(20_000).selectExpr("id as doc_id", "'hot' as source", "concat('menu\n', 'body ', id) as text")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r[0] for r in line_dedup(df).rdd.mapPartitions(lambda rows: [(sum(1 for _ in rows),)]).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 20_000 and max(sizes) < 8_000
