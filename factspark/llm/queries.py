@@ -56,7 +56,7 @@ def _chat_sql() -> str:
 with recursive t as (
   select conv_id, turn, coalesce(text, '') as text, case {names} else 0 end as code, row_number() over (partition by conv_id order by turn, role, sha256(coalesce(text, ''))) as i
   from (select *, lower(trim(coalesce(role, ''))) as name from conversations)),
-n as (select conv_id, count(*) as n, min(turn) // 1024 as chunk from t group by conv_id),
+n as (select conv_id, count(*) as n, 0 as chunk from t group by conv_id),
 w as (select {ways} as ways),
 fw(conv_id, i, c) as (
   select conv_id, 0::bigint, [0, {NEVER}, {NEVER}, {NEVER}]::bigint[] from n

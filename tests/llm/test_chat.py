@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from factspark.llm import chat
 from factspark.llm.chat import ASSISTANT, BEGIN, INSERT, MERGE, NAME, RELABEL, SYSTEM, USER, best_states, format_chats, op6_chat_format, render, repair, role_code
 
 CODES = {"s": SYSTEM, "u": USER, "a": ASSISTANT, "?": 0}
@@ -81,7 +82,7 @@ def test_whole_table(spark):
         assert all(x[2] in r.text for x in own)
 
 
-def test_chunks_give_the_same_cost_and_text(spark):
+def test_chunks_give_the_same_cost_and_text(spark, monkeypatch):
     rng = random.Random(2)
     rows, want = [], {}
     for conv in range(12):
@@ -90,7 +91,9 @@ def test_chunks_give_the_same_cost_and_text(spark):
         rows += [(conv, t, {"u": "user", "a": "assistant", "s": "system", "?": "tool"}[c], f"t{t}", None, None) for t, c in enumerate(letters)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, SCHEMA)
-    for chunk in (1, 7, 1000):
+    for chunk, fan, most in ((1, 3, 0), (1, 1024, 100_000), (7, 2, 100_000), (1000, 1024, 0)):
+        monkeypatch.setattr(chat, "FAN", fan)
+        monkeypatch.setattr(chat, "BROADCAST_LONG", most)
         texts, costs = {}, {}
         for r in sorted(format_chats(df, chunk=chunk).collect(), key=lambda r: (r.id, r.chunk)):
             texts[r.id] = texts.get(r.id, "") + r.text
@@ -105,7 +108,27 @@ def test_edges(spark):
     rows = [(1, 0, "user", None, None, None), (1, None, "system", "s", None, None), (None, 0, None, "x", "c", "i"), (2, 3, "assistant", "é" * 100_000, None, None), (3, 1, "user", "same", None, None), (3, 1, "user", "same", None, None)]
     df = spark.createDataFrame(rows, SCHEMA)
     got = {(r.id, r.chunk): r for r in format_chats(df).collect()}
-    assert set(got) == {(1, -1), (1, 0), (None, 0), (2, 0), (3, 0)}
-    assert got[1, -1].text + got[1, 0].text == "<|system|>\ns\n<|end|>\n<|user|>\n\n<|end|>\n<|assistant|>\n\n<|end|>\n"
+    assert set(got) == {(1, 0), (None, 0), (2, 0), (3, 0)}
+    assert got[1, 0].text == "<|system|>\ns\n<|end|>\n<|user|>\n\n<|end|>\n<|assistant|>\n\n<|end|>\n"
     assert got[3, 0].cost == MERGE + INSERT and got[2, 0].n_inserted == 1 and got[None, 0].cost == NAME + INSERT
     assert format_chats(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("number", ["cast(null as int)", "cast(id % 3 as int)", "cast(1 as int)", "cast(id as int)"])
+def test_chunks_are_bounded_whatever_the_numbers(spark, number):
+    df = spark.range(50_000).selectExpr("cast(null as long) as conv_id", f"{number} as turn", "element_at(array('user', 'assistant', 'tool'), cast(id % 3 + 1 as int)) as role", "concat('t', id) as text")
+    got = format_chats(df).select("chunk", "n_turns", "text").collect()
+    assert sorted(r.chunk for r in got) == list(range(49)) and max(r.n_turns for r in got) == 1024
+    text = "".join(r.text for r in sorted(got))
+    found = [int(x) for x in re.findall(r"(?m)^t(\d+)$", text)]
+    assert sorted(found) == list(range(50_000))
+    if "id %" in number:
+        assert [i % 3 for i in found] == sorted(i % 3 for i in found)
+    if "id as" in number:
+        assert found == list(range(50_000))
+
+
+def test_equal_turns_all_stay(spark):
+    df = spark.range(3000).selectExpr("7L as conv_id", "1 as turn", "'user' as role", "'same' as text")
+    got = format_chats(df).collect()
+    assert sorted(r.n_turns for r in got) == [952, 1024, 1024] and "".join(r.text for r in sorted(got, key=lambda r: r.chunk)).count("same") == 3000
