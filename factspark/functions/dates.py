@@ -35,6 +35,17 @@ def settled(date: Column, run_date: Column | str) -> Column:
     return as_date(day(date)) <= as_date(run)
 
 
+def in_window(day: Column, first: str, last: str) -> Column:
+    """Whether a day as text lies within the window, both ends included."""
+    return day.between(first, last)
+
+
+def moment_in_window(moment: Column, first: str, last: str, kind: str = "timestamp_ntz") -> Column:
+    """The same for a time of day; as it compares the bare column, the bounds reach the scan."""
+    after = (datetime.date.fromisoformat(last) + datetime.timedelta(days=1)).isoformat()
+    return (moment >= F.lit(first).cast(kind)) & (moment < F.lit(after).cast(kind))
+
+
 def age_on(birth: Column, event: Column) -> Column:
     """Whole years, a birthday later in the event's year not counted yet."""
     later = F.struct(F.month(event), F.day(event)) < F.struct(F.month(birth), F.day(birth))

@@ -6,7 +6,7 @@ import json
 from abc import ABC, abstractmethod
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factspark.functions import text
@@ -25,6 +25,26 @@ def grade(prediction: Column, answer: Column, aliases: Column) -> Column:
     return F.when(no_answer, "NOT_ATTEMPTED").when(F.array_contains(names, norm), "CORRECT").when(~F.exists(names, lambda n: F.contains(norm, n) | F.contains(n, norm)), "INCORRECT")
 
 
+def dataset(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """``(id, question, answer, answer_aliases)``, and further columns, of a dataset in JSON lines."""
+    more = "".join(f", {c} string" for c in columns or [])
+    return spark.read.schema(f"id string, question string, answer string, answer_aliases array<string>{more}").json(path)
+
+
+def predictions(spark: SparkSession, path: str) -> DataFrame:
+    """``(id, prediction)`` of a model's answers in JSON lines; of several for one id the first in order counts."""
+    rows = spark.read.schema("id string, prediction string").json(path)
+    return rows.groupBy("id").agg(F.min("prediction").alias("prediction"))
+
+
+def graded(questions: DataFrame, answers: DataFrame, factory: Callable[[], GraderClient] | None = None) -> DataFrame:
+    """Questions with ``prediction`` and ``grade``. A missing prediction is NOT_ATTEMPTED; what rules can't decide is the client's, or INCORRECT without one."""
+    rows = questions.join(answers, "id", "left").withColumn("grade", grade(F.col("prediction"), F.col("answer"), F.col("answer_aliases")))
+    if factory is not None:
+        return grade_rest(rows, factory)
+    return rows.withColumn("grade", F.coalesce("grade", F.lit("INCORRECT")))
+
+
 def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
@@ -36,7 +56,7 @@ def metrics(graded: DataFrame, grade_col: str = "grade", by: list[str] | None =
     c = c.withColumn("attempted", F.col("correct") + F.col("incorrect"))
     n = F.col("n")
     c = c.withColumns({
-        "accuracy": _ratio(F.col("correct"), n), "correct_rate": _ratio(F.col("correct"), n), "incorrect_rate": _ratio(F.col("incorrect"), n), "not_attempted_rate": _ratio(F.col("not_attempted"), n),
+        "accuracy": _ratio(F.col("correct"), n), "correct_rate": _ratio(F.col("correct"), n), "incorrect_rate": _ratio(F.col("incorrect"), n), "not_attempted_rate": _ratio(F.col("not_attempted"), n), "attempt_rate": _ratio(F.col("attempted"), n),
         "accuracy_given_attempted": _ratio(F.col("correct"), F.col("attempted")),
     })
     a, b = F.col("accuracy"), F.col("accuracy_given_attempted")

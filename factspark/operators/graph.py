@@ -109,6 +109,16 @@ def series_positions(rows: DataFrame, series: Sequence[str], date: str, edition:
     return placed.withColumn("position", F.max("__rn").over(Window.partitionBy(*series, edition))).drop("__rn")
 
 
+def references(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(id,)``: what the columns refer to, each once; one pass over the rows."""
+    return rows.select(F.explode(F.array(*columns)).alias("id")).where("id is not null").distinct()
+
+
+def first_bound(*values: Column) -> Column:
+    """The first optional value that is there."""
+    return F.coalesce(*values)
+
+
 def union_branches(branches: Sequence[tuple[DataFrame, dict[str, Column]]]) -> DataFrame:
     """The rows of all branches (repeated ones kept), each with the constant columns of its branch."""
     out = None

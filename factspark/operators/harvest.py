@@ -81,14 +81,14 @@ def items_of(statements: DataFrame, entities: DataFrame, subjects: DataFrame, pi
     return groups.select("subject", "pid", F.col("x.qid").alias("qids"), F.filter("x.label", lambda v: v != "").alias("labels"))
 
 
-def _numbered(rows: DataFrame, most: Column | int, order: list[str]) -> DataFrame:
+def numbered(rows: DataFrame, most: Column | int, order: list[str]) -> DataFrame:
     """The first rows of each template, numbered. Spark cuts each partition down to them before it shuffles."""
     ranked = rows.withColumn("cand_ord", F.row_number().over(Window.partitionBy("tpl_ord").orderBy(*order)))
     return ranked.where(F.col("cand_ord") <= most)
 
 
 def _within(day: str, settings: Settings) -> Column:
-    return F.col(day).between(settings.target_start_date, settings.date_upper_bound)
+    return dates.in_window(F.col(day), settings.target_start_date, settings.date_upper_bound)
 
 
 def _times(statements: DataFrame, pids: Column, name: str) -> DataFrame:
@@ -100,10 +100,9 @@ def _times(statements: DataFrame, pids: Column, name: str) -> DataFrame:
 def single_facts(tables: dict[str, DataFrame], closure: DataFrame, templates: DataFrame, settings: Settings) -> DataFrame:
     """Candidates of all templates of one fact: type, date and answer of a subject, where the answer is the only one for its date."""
     statements, entities = tables["statements"], tables["entities"]
-    # One row a template: as small as the catalog, and never as large as the graph.
     own = templates.where("reasoning_style = 'single_fact'").select(*_TEMPLATE, "exact_instance_only", "retrieval_limit")
     types = own.select(F.col("subject_type_qid").alias("root"), F.col("exact_instance_only").alias("exact")).distinct()
-    typed = graph.instances(statements, types, closure).join(F.broadcast(own), (F.col("root") == F.col("subject_type_qid")) & (F.col("exact") == F.col("exact_instance_only")))
+    typed = graph.instances(statements, types, closure).join(own, (F.col("root") == F.col("subject_type_qid")) & (F.col("exact") == F.col("exact_instance_only")))
     dated = _times(statements, F.col("pid").isin(_values(own, "date_property_pid")), "date").where(_within("date", settings)).withColumnRenamed("date_pid", "date_property_pid")
     answers = graph.truthy(statements.where(F.col("pid").isin(_values(own, "target_property_pid"))))
     answers = answers.select(
@@ -113,10 +112,9 @@ def single_facts(tables: dict[str, DataFrame], closure: DataFrame, templates: Da
     rows = typed.join(dated, ["subject", "date_property_pid"]).join(answers, ["subject", "target_property_pid"])
     unique = graph.having_one(rows, ["tpl_ord", "subject", "date"], F.col("answer_key"), ["answer_key"])
     most = F.least(F.lit(settings.harvest_limit_per_template), F.col("retrieval_limit")) * settings.over_fetch
-    picked = _numbered(unique, most, ["date", "subject", "answer_key"])
+    picked = numbered(unique, most, ["date", "subject", "answer_key"])
 
-    subjects = picked.select("subject").distinct()
-    related = items_of(statements, entities, subjects.unionByName(picked.where("answer_id is not null").select(F.col("answer_id").alias("subject"))).distinct(), ["P31", "P131", "P276", "P150"])
+    related = items_of(statements, entities, graph.references(picked, ["subject", "answer_id"]).withColumnRenamed("id", "subject"), ["P31", "P131", "P276", "P150"])
     by = related.groupBy("subject").pivot("pid", ["P31", "P131", "P276", "P150"]).agg(F.first(F.struct("qids", "labels")))
     none = F.array().cast(TEXTS)
     own_items = by.select(
@@ -201,8 +199,8 @@ def wedding_age_gaps_by_person(tables: dict[str, DataFrame], closure: DataFrame,
 
 def _wedding(rows: DataFrame, entities: DataFrame, templates: DataFrame, settings: Settings, date_pid: Column, method: str, clues: Column) -> DataFrame:
     own = templates.where("domain = 'wedding_age_gap' and reasoning_style = 'multi_hop_join'").select(*_TEMPLATE)
-    rows = _label(entities, _label(entities, rows, "person", "person_label"), "spouse", "spouse_label").withColumn("domain", F.lit("wedding_age_gap")).join(F.broadcast(own), "domain")  # one template row
-    rows = _numbered(rows, settings.harvest_limit_per_template, ["start", "person", "spouse", "birth1", "birth2"])
+    rows = _label(entities, _label(entities, rows, "person", "person_label"), "spouse", "spouse_label").withColumn("domain", F.lit("wedding_age_gap")).join(own, "domain")
+    rows = numbered(rows, settings.harvest_limit_per_template, ["start", "person", "spouse", "birth1", "birth2"])
     person, spouse, gap = F.col("person_label"), F.col("spouse_label"), F.col("gap").cast("string")
     value = F.concat(F.lit("VALUE:number:"), gap)
     return assemble(
@@ -245,7 +243,7 @@ def first_degrees(tables: dict[str, DataFrame], closure: DataFrame, templates: D
     rows = graph.earliest_unique(rows, ["person"], "end").where(_within("end", settings))
     rows = _label(entities, _label(entities, rows, "person", "person_label", fallback=False), "degree", "degree_label").where("person_label <> ''")
     own = templates.where("domain = 'person_first_degree_university' and reasoning_style = 'multi_hop_join'").select(*_TEMPLATE)
-    rows = _numbered(rows.withColumn("domain", F.lit("person_first_degree_university")).join(F.broadcast(own), "domain"), settings.harvest_limit_per_template, ["end", "person"])  # a template row or two
+    rows = numbered(rows.withColumn("domain", F.lit("person_first_degree_university")).join(own, "domain"), settings.harvest_limit_per_template, ["end", "person"])
     person, university, end = F.col("person_label"), F.col("university_label"), F.col("end")
     return assemble(
         rows, settings,
@@ -277,7 +275,7 @@ def source_work_authors(tables: dict[str, DataFrame], closure: DataFrame, templa
     for name in ("film", "work", "author"):
         rows = _label(entities, rows, name, f"{name}_label")
     own = templates.where("domain = 'film_source_work_author' and reasoning_style = 'multi_hop_join'").select(*_TEMPLATE)
-    rows = _numbered(rows.withColumn("domain", F.lit("film_source_work_author")).join(F.broadcast(own), "domain"), settings.harvest_limit_per_template, ["date", "film", "author"])  # one template row
+    rows = numbered(rows.withColumn("domain", F.lit("film_source_work_author")).join(own, "domain"), settings.harvest_limit_per_template, ["date", "film", "author"])
     film, work, author, date = (F.col(c) for c in ("film_label", "work_label", "author_label", "date"))
     return assemble(
         rows, settings,
@@ -311,7 +309,7 @@ def tournament_winners(tables: dict[str, DataFrame], closure: DataFrame, templat
     times = lambda pid, name: _times(statements, F.col("pid") == pid, name).select(F.col("subject").alias("edition"), name)
     tournaments = typed.where(F.col("root") == head.subject_type_qid).join(items("P179", "series"), "edition").join(times("P585", "date"), "edition").select("edition", "series", "date")
     seasons = typed.where(F.col("root") == fixed.SEASON_CLASS).join(items("P3450", "series"), "edition").join(times("P582", "season_end"), "edition", "left").join(times("P580", "season_start"), "edition", "left")
-    seasons = seasons.withColumn("date", F.coalesce("season_end", "season_start")).where("date is not null")
+    seasons = seasons.withColumn("date", graph.first_bound(F.col("season_end"), F.col("season_start"))).where("date is not null")
     end_known = F.when(F.col("season_end").isNotNull(), "P582").otherwise("P580")
     rows = graph.union_branches([
         (tournaments.withColumn("season_end", F.lit(None).cast("string")), {"series_pid": F.lit("P179"), "date_pid": F.lit("P585")}),
@@ -327,7 +325,7 @@ def tournament_winners(tables: dict[str, DataFrame], closure: DataFrame, templat
     for name in ("edition", "series", "winner"):
         rows = _label(entities, rows, name, f"{name}_label")
     rows = rows.withColumn("descriptor", text.strip_year_tokens(F.col("series_label"))).where("descriptor <> '' and winner_label <> '' and winner_label <> winner")
-    rows = _numbered(rows.withColumn("domain", F.lit("ordinal_tournament_winner")).join(F.broadcast(own), "domain"), settings.harvest_limit_per_template, ["date", "edition", "series", "series_pid", "date_pid"])  # one template row
+    rows = numbered(rows.withColumn("domain", F.lit("ordinal_tournament_winner")).join(own, "domain"), settings.harvest_limit_per_template, ["date", "edition", "series", "series_pid", "date_pid"])
     name, edition, winner, nth = F.col("descriptor"), F.col("edition_label"), F.col("winner_label"), text.ordinal(F.col("place"))
     return assemble(
         rows, settings,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: The columns of a catalog export, in order.
@@ -11,12 +13,20 @@ EXPORT = (
     "question_family", "subject_type_qid", "subject_type_label", "date_property_pid", "target_property_pid", "target_property_label", "date_answer_granularity", "exact_instance_only",
     "new_element_slot", "new_element_hop", "required_reasoning_clues", "canonical_question_template",
 )
+# The headings of the review document.
 AXES = (
     ("Status Axis", "Activation Status", "activation_status"), ("Evidence Axis", "Evidence Status", "evidence_status"), ("Domain Axis", "Topic", "topic"),
     ("Answer Type Axis", "Answer Type", "answer_type"), ("Answer Format Axis", "Answer Format", "answer_format"), ("Temporal Axis", "Temporal Mode", "temporal_mode"),
 )
 
 
+DEFINITIONS = (
+    ("activation_status", "how far a template is used: by default (`active`), in trials of several hops or of dates as answers, or as a plan only (`blueprint`)"),
+    ("evidence_status", "whether a recorded run has accepted an example of it"),
+    ("temporal_mode", "whether the question is free of time (`atemporal`), joins facts by a time (`time_related_join`), or asks for a day (`date_answer`)"),
+)
+
+
 def catalog_rows(templates: DataFrame) -> DataFrame:
     """The catalog as text columns: lists joined by commas, booleans in lower case, nothing null."""
     recipe = F.col("reasoning_recipe")
@@ -52,7 +62,7 @@ def catalog_markdown(templates: DataFrame) -> str:
     for r in axis_counts(rows, [c for _, _, c in AXES]).orderBy("axis", "value").collect():
         counts.setdefault(r.axis, []).append((r.value, r.n))
     out = [
-        "# Template Catalog Review", "", "## Headline Stats", "", f"- Total templates: `{total.total}`", f"- Number-answer templates: `{total.number_total}`",
+        "# Template Catalog Review", "", "## Definitions", "", *(f"- `{name}`: {meaning}" for name, meaning in DEFINITIONS), "", "## Headline Stats", "", f"- Total templates: `{total.total}`", f"- Number-answer templates: `{total.number_total}`",
         f"- Date-answer templates: `{total.date_total}`", f"- Time-related templates (including date-answer): `{total.temporal_total}`",
     ]
     for title, head, column in AXES:
@@ -86,13 +96,23 @@ def problem_counts(events: DataFrame, statuses: DataFrame | None = None) -> Data
     return rows.groupBy("key").agg(F.count("*").alias("n"))
 
 
-def request_counters(events: DataFrame) -> DataFrame:
-    """Counters of a run's requests, with the events themselves (``events``) beside them, as one row.
+def snapshot(events: DataFrame, by: Sequence[str] = (), order: Sequence[str] = (), per_row: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """Counters of requests, and a copy of their events, ``per_row`` of them in each row at most.
 
-    ``events`` has ``kind`` (``network``, ``cache_hit``), ``status``, ``attempt``. A run's
-    events are gathered into its one row, as the report asks; use the counters alone for longer logs.
+    ``events`` has ``kind`` (``network``, ``cache_hit``), ``status``, ``attempt``. With ``by``,
+    there is a row of counters for each value. The events of a run are as many
+    rows as its log needs (``part`` 0, 1, ...), in order; no row holds all of them.
     """
-    return events.agg(*_counters(), F.collect_list(F.struct(*events.columns)).alias("events"))
+    place = Window.partitionBy(*by).orderBy(*(order or events.columns)) if by else None
+    numbered = events.withColumn("__n", F.row_number().over(place) - 1) if by else _in_order(events, order or events.columns)
+    parts = numbered.groupBy(*by, F.floor(F.col("__n") / per_row).cast("long").alias("part")).agg(F.array_sort(F.collect_list(F.struct("__n", F.struct(*events.columns).alias("event")))).alias("x"))
+    return events.groupBy(*by).agg(*_counters()), parts.select(*by, "part", F.col("x.event").alias("events"))
+
+
+def _in_order(events: DataFrame, order: Sequence[str]) -> DataFrame:
+    from factspark.operators.select import numbered
+
+    return numbered(events, "n", list(order), "__id").withColumn("__n", F.substring("__id", 3, 20).cast("long") - 1).drop("__id")
 
 
 def _counters() -> list[Column]:
@@ -111,6 +131,11 @@ def reasons_by_domain(rejected: DataFrame) -> DataFrame:
     return rejected.groupBy("domain").agg(F.array_sort(F.collect_set("rejection_reason")).alias("reasons"))
 
 
+def missing_domains(templates: DataFrame, accepted: DataFrame) -> DataFrame:
+    """``(domain,)``: what was asked for and has no accepted example."""
+    return templates.select("domain").distinct().join(accepted.select("domain"), "domain", "left_anti")
+
+
 def summary(accepted: DataFrame, rejected: DataFrame, templates: DataFrame, status: DataFrame, target_time: str) -> DataFrame:
     """One row: what a run gave, and which domains gave nothing."""
     named = lambda s: F.array_sort(F.collect_set(F.when(s, F.col("domain"))))
@@ -119,7 +144,7 @@ def summary(accepted: DataFrame, rejected: DataFrame, templates: DataFrame, stat
         named(F.col("status") == "no_result").alias("no_result_domains"), named(F.startswith("status", F.lit("error:"))).alias("error_domains"),
         F.array_sort(F.collect_list(F.struct("domain", "accepted", "rejected", "status"))).alias("template_results"),
     )
-    missing = templates.select("domain").distinct().join(accepted.select("domain").distinct(), "domain", "left_anti").agg(F.array_sort(F.collect_set("domain")).alias("missing_domains"))
+    missing = missing_domains(templates, accepted).agg(F.array_sort(F.collect_set("domain")).alias("missing_domains"))
     one = lambda df, *c: df.select(F.lit(1).alias("__one"), *c)
     out = one(domains, "*").join(one(missing, "*"), "__one").join(one(accepted.agg(F.count("*").alias("accepted_total")), "*"), "__one")
     out = out.join(one(rejected.agg(F.count("*").alias("rejected_total")), "*"), "__one").join(one(templates.agg(F.count("*").alias("template_total")), "*"), "__one")

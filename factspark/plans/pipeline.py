@@ -40,31 +40,38 @@ def judge(candidates: DataFrame, tables: dict[str, DataFrame], templates: DataFr
     """Candidates with their question and flags, ``rejection_reason`` and ``rejection_notes`` (null for those that pass)."""
     own = templates.select("tpl_ord", "subject_type_qid", "subject_type_label", "canonical_question_template", "composition_style")
     reason, note = validate.rejection(settings)
-    rows = candidates.join(F.broadcast(own), "tpl_ord").withColumns({"rejection_reason": reason, "__note": note})
-    rows = stored(rows)  # read three times below
+    rows = candidates.join(own, "tpl_ord").withColumns({"rejection_reason": reason, "__note": note})
+    rows = stored(rows)  # read by the searches below, and by what they are joined back to
+    if settings.full_statements:
+        rows = _only_statements(rows, tables["statements"])
     # Only candidates that pass the cheap rules are searched for competitors.
-    passed = rows.where("rejection_reason is null")
-    single = ambiguity.resolve(passed.where("composition_style = 'single_fact'"), tables["names"], tables["statements"], settings.competitor_limit)
+    none = F.array().cast("array<string>")
+    key = ["tpl_ord", "cand_ord"]
+    single = rows.where("rejection_reason is null and composition_style = 'single_fact'")
+    single = ambiguity.resolve(single, tables["names"], tables["statements"], 50 if settings.alias_competitors else settings.competitor_limit, settings.alias_competitors)
+    if settings.signatures:
+        single = _with_signatures(single, tables)
+    rows = rows.join(single.select(*key, "resolution", F.col("found_competitors").alias("__found")), key, "left")
     meta = F.col("source_metadata")
     known = F.struct(
         F.lit("resolved_by_non_temporal_descriptor").alias("status"), F.coalesce(meta["question_format_args"]["descriptor"], F.col("subject_label")).alias("descriptor"),
-        F.coalesce(meta["required_reasoning_clues"], F.array().cast("array<string>")).alias("signature"), F.array().cast("array<string>").alias("competitor_qids"),
+        F.coalesce(meta["required_reasoning_clues"], none).alias("signature"), none.alias("competitor_qids"),
     )
-    composed = passed.where("composition_style <> 'single_fact'").withColumns({"resolution": known, "found_competitors": F.array().cast("array<string>")})
-    rest = rows.where("rejection_reason is not null").withColumns({"resolution": F.lit(None).cast(composed.schema["resolution"].dataType), "found_competitors": F.array().cast("array<string>")})
-    rows = single.unionByName(composed).unionByName(rest)
+    composed = F.col("rejection_reason").isNull() & (F.col("composition_style") != "single_fact")
+    rows = rows.withColumns({"resolution": F.when(composed, known).otherwise(F.col("resolution")), "found_competitors": F.coalesce("__found", none)})
     args = meta["question_format_args"]
     slots = {"descriptor": F.coalesce(args["descriptor"], F.col("resolution.descriptor")), "subject_kind": F.coalesce(args["subject_kind"], F.col("subject_type_label")), "ordinal": args["ordinal"]}
+    unresolved = "no_non_temporal_signature" if settings.signatures else "same_label_competitor_requires_temporal_disambiguation"
     rows = rows.withColumns({
-        "rejection_reason": F.coalesce("rejection_reason", F.when(F.col("resolution").isNull(), "same_label_competitor_requires_temporal_disambiguation")),
+        "rejection_reason": F.coalesce("rejection_reason", F.when(F.col("resolution").isNull(), unresolved)),
         "canonical_question": F.when(F.col("resolution").isNotNull(), text.fill(F.col("canonical_question_template"), slots)).otherwise(F.lit("")),
         "ambiguity_status": F.coalesce("resolution.status", F.lit("unknown")),
-        "disambiguation_signature": F.coalesce("resolution.signature", F.array().cast("array<string>")),
-        "competitor_qids": F.coalesce("resolution.competitor_qids", F.array().cast("array<string>")),
+        "disambiguation_signature": F.coalesce("resolution.signature", none),
+        "competitor_qids": F.coalesce("resolution.competitor_qids", none),
     })
     # A question with a slot that nothing fills can't be asked.
     rows = rows.withColumn("__unfilled", F.col("canonical_question").isNull()).withColumn("canonical_question", F.coalesce("canonical_question", F.lit("")))
-    asked = validate.flag(rows)
+    asked = validate.flag(rows, settings.extra_phrases)
     checked = F.col("resolution").isNotNull() & F.col("rejection_reason").isNull()
     failed = checked & (~F.col("flags_ok") | F.col("__unfilled"))
     notes = F.when(failed, F.to_json(F.struct("validation_flags"))).when(F.size("found_competitors") > 0, F.when(F.col("resolution").isNull(), F.to_json(F.struct(F.col("found_competitors").alias("competitor_qids")))))
@@ -77,18 +84,47 @@ def judge(candidates: DataFrame, tables: dict[str, DataFrame], templates: DataFr
     return out.select(*COLUMNS, "rejection_reason", "rejection_notes")
 
 
+def _only_statements(rows: DataFrame, statements: DataFrame) -> DataFrame:
+    """Candidates of one fact whose answer isn't the only one among all statements of any rank are turned down."""
+    asked = rows.where("rejection_reason is null and composition_style = 'single_fact'").select(F.col("subject_qid").alias("subject"), F.col("target_property_pid").alias("pid")).distinct()
+    known = graph.full_statement_unique(statements.join(asked, ["subject", "pid"], "left_semi")).select(F.col("subject").alias("subject_qid"), F.col("pid").alias("target_property_pid"), F.col("is_unique").alias("__only"))
+    checked = F.col("rejection_reason").isNull() & (F.col("composition_style") == "single_fact") & ~F.coalesce("__only", F.lit(False))
+    out = rows.join(known, ["subject_qid", "target_property_pid"], "left")
+    return out.withColumn("rejection_reason", F.when(checked, "answer_not_unique").otherwise(F.col("rejection_reason"))).select(*rows.columns)
+
+
+def _with_signatures(single: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Candidates that have competitors and no other way to be told from them are resolved by the smallest signature."""
+    single = stored(single)
+    asked = single.where("resolution is null")
+    lists = F.concat("answer_labels", "answer_aliases")
+    subjects = asked.select(F.struct("tpl_ord", "cand_ord").alias("row_id"), F.col("subject_qid").alias("qid"), F.col("found_competitors").alias("competitors"), F.transform(lists, text.normalize_name).alias("forbidden"))
+    entities = subjects.select("qid").unionByName(subjects.select(F.explode("competitors").alias("qid"))).distinct()
+    facts = ambiguity.descriptors(tables["statements"].join(entities.withColumnRenamed("qid", "subject"), "subject", "left_semi"), tables["entities"])
+    found = ambiguity.smallest_signature(subjects, facts).select("row_id.tpl_ord", "row_id.cand_ord", F.col("signature").alias("__signature"))
+    rows = single.join(found, ["tpl_ord", "cand_ord"], "left")
+    label = F.concat(F.col("subject_label"), F.lit(", "), F.array_join("__signature", ", "))
+    made = F.struct(F.lit("resolved_by_non_temporal_descriptor").alias("status"), label.alias("descriptor"), F.col("__signature").alias("signature"), F.col("found_competitors").alias("competitor_qids"))
+    return rows.withColumn("resolution", F.coalesce("resolution", F.when(F.size("__signature") > 0, made))).drop("__signature")
+
+
 def finish(judged: DataFrame, settings: Settings, factory: Callable[[], rewriting.RewriteClient] | None = None) -> Result:
     """Rewrites what passed, selects, and makes the records."""
     judged = stored(judged)
-    passed = rewriting.rewrite(judged.where("rejection_reason is null"), factory)
+    passed = rewriting.rewrite(judged.where("rejection_reason is null"), factory, settings.extra_phrases)
     rows = judged.where("rejection_reason is not null").unionByName(passed.select(*judged.columns))
     question = F.coalesce(F.nullif(F.col("rewritten_question"), F.lit("")), F.col("canonical_question"))
-    rows = stored(rows.withColumns({"question": question, "ok": F.col("rejection_reason").isNull()}))
-    chosen = select.greedy(rows, settings.pilot_total, separate=settings.separate_templates)
+    rows = rows.withColumns({"question": question, "ok": F.col("rejection_reason").isNull()})
+    if factory is not None:
+        rows = stored(rows)  # a client is asked once
+    if settings.quota_by:
+        chosen = select.by_quota(rows, settings.pilot_total, settings.quota_by, subject_property=settings.dedup_subject_property)
+    else:
+        chosen = select.greedy(rows, settings.pilot_total, separate=settings.separate_templates).withColumn("over_quota", F.lit(False))
     chosen = chosen.withColumns({
-        "rejection_reason": F.when(F.col("is_duplicate"), "duplicate_question").otherwise(F.col("rejection_reason")),
+        "rejection_reason": F.when(F.col("is_duplicate"), "duplicate_question").when(F.col("over_quota"), "quota_exceeded").otherwise(F.col("rejection_reason")),
         "rejection_notes": F.when(F.col("is_duplicate"), F.to_json(F.struct(text.strip(F.col("question")).alias("question")))).otherwise(F.col("rejection_notes")),
-    })
+    }).drop("over_quota")
     won = chosen.where("outcome = 'accepted'").withColumn("id", F.format_string("%s_%06d", F.lit(settings.id_prefix), F.col("sequence")))
     lost = chosen.where("outcome = 'rejected'")
     return Result(sinks.accepted_record(won), sinks.rejected_record(lost, COLUMNS), chosen)
@@ -105,7 +141,7 @@ def run(tables: dict[str, DataFrame], templates: DataFrame, settings: Settings,
 def demo(candidates: DataFrame) -> DataFrame:
     """Composed candidates with their question and three flags, whatever the rules say: for a look at single ids."""
     args = F.col("source_metadata.question_format_args")
-    rows = candidates.join(F.broadcast(_questions(candidates)), "domain")
+    rows = candidates.join(_questions(candidates), "domain")
     slots = {"descriptor": F.coalesce(args["descriptor"], F.col("subject_label")), "subject_kind": F.coalesce(args["subject_kind"], F.lit("")), "ordinal": args["ordinal"]}
     rows = rows.withColumn("canonical_question", text.fill(F.col("canonical_question_template"), slots))
     flags = F.struct(~text.has_year(F.col("canonical_question")), ~text.has_temporal_text(F.col("canonical_question")), validate.provenance_complete())

@@ -39,11 +39,28 @@ class Settings:
     #: The dedup of questions starts anew with each template, as in separate runs.
     separate_templates: bool = False
     rewrite: RewriteConfig | None = None
+    # Stricter or wider rules of the design; off by default.
+    #: Competitors are found by all names of both sides, not by labels alone.
+    alias_competitors: bool = False
+    #: A subject with competitors is asked for by the smallest set of descriptors, of up to three, that none of them has.
+    signatures: bool = False
+    #: An answer must be the only one among all statements that aren't deprecated, without a qualifier of time.
+    full_statements: bool = False
+    #: Further phrases count as temporal text.
+    extra_phrases: bool = False
+    #: Properties whose values change have reasons of their own, and one more of them counts.
+    finer_reasons: bool = False
+    #: Examples by quotas of this column (domain, topic, answer_type or question_family), several of a template, instead of one of each.
+    quota_by: str | None = None
+    #: With quotas, a subject and a property are asked for once.
+    dedup_subject_property: bool = True
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "target_time", self.target_time.strip())
         start_of(self.target_time)
         datetime.date.fromisoformat(self.run_date)
+        if self.quota_by not in (None, "domain", "topic", "answer_type", "question_family"):
+            raise ValueError(f"no quotas by {self.quota_by}")
         if self.date_upper_bound is None:
             object.__setattr__(self, "date_upper_bound", self.run_date)
 

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factspark import catalog, fixed
+from factspark import catalog, fixed, schemas
 from factspark.functions import dates, text
-from factspark.operators import ambiguity, evaluate, graph, harvest, report, select, validate
+from factspark.operators import ambiguity, evaluate, graph, harvest, report, rewrite, select, validate
+from factspark.plans.settings import Settings
+from factspark.sources.readers import DOCUMENT, entities_of, names_of, statements_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +40,73 @@ def _day(c: str):
     return F.col(c).cast("date")
 
 
+def _id(prefix: str, column: str):
+    return F.concat(F.lit(prefix), F.col(column).cast("string"))
+
+
+def _statement(df: DataFrame, subject, pid: str, item=None, time: str | None = None, rank=None, qualifiers=None, order=None) -> DataFrame:
+    """Rows as statements of a property: an item, or the day of a column."""
+    given = {
+        "subject": subject, "pid": F.lit(pid), "stmt_ord": F.lit(0) if order is None else order, "rank": F.lit("normal") if rank is None else rank, "value_kind": F.lit("item" if time is None else "time"),
+        "value_id": item if time is None else None, "value_time": None if time is None else F.concat(F.lit("+"), F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")), "time_precision": F.lit(11), "qualifiers": qualifiers,
+    }
+    col = lambda v: F.lit(None) if v is None else F.col(v) if isinstance(v, str) else v
+    return df.select(*(col(given.get(f.name)).cast(f.dataType).alias(f.name) for f in schemas.STATEMENTS.fields))
+
+
+def _at(pid: str, day: str, **more):
+    """Qualifiers: a day, and items of other properties."""
+    empty = {"id": F.lit(None).cast("string"), "time": F.lit(None).cast("string"), "precision": F.lit(None).cast("int"), "text": F.lit(None).cast("string")}
+    snak = lambda **v: F.array(F.struct(*(v.get(n, c).alias(n) for n, c in empty.items())))
+    moment = F.concat(F.lit("+"), F.date_format(day, "yyyy-MM-dd"), F.lit("T00:00:00Z"))
+    return F.create_map(F.lit(pid), snak(time=moment, precision=F.lit(11)), *(x for p, v in more.items() for x in (F.lit(p), snak(id=v))))
+
+
+def _entities(*parts: tuple[DataFrame, Column, str]) -> DataFrame:
+    out = None
+    for df, qid, label in parts:
+        part = df.select(qid.alias("qid"), F.col(label).alias("label_en"), F.lit("").alias("description_en"), F.array().cast("array<string>").alias("aliases_en"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _candidates(df: DataFrame, **values) -> DataFrame:
+    """Rows as candidates: the given columns, and nulls (empty lists) for the others."""
+    col = lambda v: F.col(v) if isinstance(v, str) else v
+    filled = {f.name: values[f.name] if f.name in values else F.array().cast(f.dataType) if f.dataType.typeName() == "array" else F.lit(None).cast(f.dataType) for f in schemas.CANDIDATES.fields}
+    more = {k: v for k, v in values.items() if k not in filled}
+    return df.select(*(col(v).cast(schemas.CANDIDATES[k].dataType).alias(k) for k, v in filled.items()), *(col(v).alias(k) for k, v in more.items()))
+
+
+_HOPS = [
+    {"source_qid": "Qf", "source_label": "Example Film", "property_pid": "P144", "property_label": "based on", "target_qid": "Qb", "target_label": "Hidden Work", "role": "bridge"},
+    {"source_qid": "Qb", "source_label": "Hidden Work", "property_pid": "P50", "property_label": "author", "target_qid": "Qa", "target_label": "Example Author", "role": "answer"},
+]
+_META = {"required_reasoning_clues": ["based on"], "multi_hop_unique": True}
+#: A candidate that breaks no rule, ways to break it, and what is wrong then. The last two are wrong in two ways.
+SOUND = {
+    "tpl_ord": 0, "cand_ord": 1, "subject_qid": "Qf", "subject_label": "Example Film", "subject_aliases": [], "answer_type": "Person", "target_property_pid": "P50", "answer_qids": ["Qa"], "answer_labels": ["Example Author"], "answer_aliases": [],
+    "date_value": "1995-02-01", "reasoning_style": "multi_hop_join", "hop_count": 2, "reasoning_path": _HOPS, "bridge_entities": [{"qid": "Qb", "label": "Hidden Work", "role": "source_work"}], "derivation_signature": {"style": "multi_hop_join", "rule": "r"},
+    "provenance_complete": True, "canonical_question": "Who wrote what Example Film was based on?", "source_metadata": _META,
+}
+_ORDINAL = lambda **m: {"reasoning_style": "multi_hop_ordinal", "source_metadata": {**_META, "ordinal_metadata": {"series_history_complete": True, "descriptor": "Green Cup", **m}}}
+BROKEN = [
+    ({}, None), ({"subject_label": ""}, "no_english_label"), ({"subject_label": None}, "no_english_label"), ({"answer_labels": []}, "no_answer_label"), ({"answer_labels": None}, "no_answer_label"), ({"subject_label": "Film 1996"}, "subject_label_contains_year"),
+    ({"subject_label": "Latest Film"}, "subject_label_contains_temporal_expression"), ({"subject_label": "May Queen"}, "subject_label_contains_temporal_expression"), ({"date_value": "1999-12-01"}, "answer_not_time_invariant"),
+    ({"date_value": "1999-12-01", "target_property_pid": "P57"}, "future_dated_or_unsettled_fact"), ({"date_value": "1996-00-00"}, "answer_not_time_invariant"), ({"target_property_pid": "P26"}, "answer_not_time_invariant"), ({"target_property_pid": "P1082"}, "answer_not_time_invariant"),
+    ({"reasoning_path": [{**_HOPS[0], "property_pid": "P26"}, _HOPS[1]]}, "answer_not_time_invariant"), ({"answer_qids": ["Qa", "Qc"]}, "answer_not_unique"), ({"source_metadata": {**_META, "multi_hop_unique": False}}, "answer_not_unique"), ({"answer_qids": []}, "answer_not_unique"),
+    ({"provenance_complete": False}, "provenance_incomplete"), ({"provenance_complete": None}, "provenance_incomplete"), ({"hop_count": 3}, "provenance_incomplete"), ({"derivation_signature": None}, "provenance_incomplete"),
+    ({"reasoning_path": [_HOPS[0], {**_HOPS[1], "target_label": "Author of 1999"}]}, "same_label_competitor_requires_temporal_disambiguation"), ({"reasoning_path": [{**_HOPS[0], "target_label": "Work 1999"}, {**_HOPS[1], "source_label": "Work 1999"}]}, None),
+    ({"reasoning_path": [{**_HOPS[0], "target_label": "Work 1999"}, _HOPS[1]], "source_metadata": {**_META, "surface_bridge_entities": True}}, "same_label_competitor_requires_temporal_disambiguation"),
+    ({"answer_type": "Date", "reasoning_path": [_HOPS[0], {**_HOPS[1], "target_label": "22 January 1988"}]}, None), ({"reasoning_path": [_HOPS[0], {**_HOPS[1], "source_qid": "Qx"}]}, "reasoning_path_not_connected"),
+    ({"reasoning_path": [{**_HOPS[0], "target_qid": None}, _HOPS[1]]}, "reasoning_path_not_connected"), ({"reasoning_path": _HOPS[:1], "hop_count": 1}, "reasoning_path_not_connected"), ({"reasoning_style": "ordinal_fact"}, "ordinal_derivation_not_safe"),
+    (_ORDINAL(), None), (_ORDINAL(descriptor="Green Cup 1999"), "ordinal_derivation_not_safe"), (_ORDINAL(series_history_complete=False), "ordinal_derivation_not_safe"), (_ORDINAL(descriptor=""), "ordinal_derivation_not_safe"),
+    ({"subject_label": "Film 1996", "answer_labels": []}, "no_answer_label"), ({"provenance_complete": False, "answer_qids": ["Qa", "Qc"]}, "answer_not_unique"),
+]
+#: What is looked at after the day.
+AFTER_TIME = ("answer_not_unique", "provenance_incomplete", "same_label_competitor_requires_temporal_disambiguation", "reasoning_path_not_connected", "ordinal_derivation_not_safe")
+
+
 # DuckDB's forms of the text rules.
 NORM = "trim(regexp_replace(regexp_replace(lower(strip_accents({})), '\\([^)]*\\)', '', 'g'), '[^a-z0-9]+', ' ', 'g'))"
 YEAR_SQL = r"\b(17|18|19|20|21)\d{2}\b"
@@ -49,9 +118,11 @@ TEMPORAL_SQL = "(?i)" + YEAR_SQL + r"|\b\d{4}-\d{2}-\d{2}\b|\b(" + "|".join((*fi
 
 @query("select o_orderkey, cast(o_orderdate as date) as day from orders where cast(o_orderdate as date) between date '1996-03-01' and date '1997-06-30'")
 def date_window(spark, d):
-    """FLT-1: both ends included; the bounds reach the scan."""
-    start, end = F.lit("1996-03-01").cast("timestamp_ntz"), F.lit("1997-07-01").cast("timestamp_ntz")
-    return _t(spark, d, "orders").where((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end)).select("o_orderkey", _day("o_orderdate").alias("day"))
+    """FLT-1: both ends included; the bounds reach the scan, and days as text pass the same window."""
+    window = Settings("1996-03", run_date="1998-01-01", date_upper_bound="1997-06-30")
+    rows = _t(spark, d, "orders").where(dates.moment_in_window(F.col("o_orderdate"), window.target_start_date, window.date_upper_bound))
+    rows = rows.select("o_orderkey", _day("o_orderdate").alias("day"))
+    return rows.withColumn("text", F.col("day").cast("string")).where(harvest._within("text", window)).drop("text")
 
 
 @query("""
@@ -64,14 +135,14 @@ def unique_answer(spark, d):
 
 
 @query("""
-select l_partkey, s_name, n_name, count(*) as n from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
-group by l_partkey, s_name, n_name""")
+select l_partkey, s_suppkey, 'R' || n_regionkey as region, count(*) as n from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
+where n_regionkey <> 2 group by l_partkey, s_suppkey, n_regionkey""")
 def two_hop(spark, d):
-    """JOIN-1, JOIN-6: a chain of properties, as a bag."""
-    rows = _t(spark, d, "lineitem").select("l_partkey", "l_suppkey").groupBy("l_partkey", "l_suppkey").agg(F.count("*").alias("n"))
-    rows = rows.join(_t(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-    rows = rows.join(_t(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    return rows.groupBy("l_partkey", "s_name", "n_name").agg(F.sum("n").alias("n"))
+    """JOIN-1, JOIN-6: a chain of properties, as a bag; a hop that is missing ends it."""
+    hops = _statement(_t(spark, d, "supplier"), _id("S", "s_suppkey"), "P17", item=_id("N", "s_nationkey")).unionByName(_statement(_t(spark, d, "nation").where("n_regionkey <> 2"), _id("N", "n_nationkey"), "P30", item=_id("R", "n_regionkey")))
+    rows = _t(spark, d, "lineitem").select("l_partkey", F.col("l_suppkey").alias("s_suppkey"), _id("S", "l_suppkey").alias("supplier"))
+    rows = graph.chain(graph.chain(rows, hops, "supplier", "P17", "nation"), hops, "nation", "P30", "region")
+    return rows.groupBy("l_partkey", "s_suppkey", "region").agg(F.count("*").alias("n"))
 
 
 @query("""
@@ -119,19 +190,22 @@ select o_orderkey, coalesce(ended, case when o_orderstatus <> 'P' then cast(o_or
 from orders left join s on o_orderkey = l_orderkey where coalesce(ended, case when o_orderstatus <> 'P' then cast(o_orderdate as date) end) is not null""")
 def optional_coalesce(spark, d):
     """JOIN-8, PRJ-4, FLT-4: optional values, the first that is bound, rows that have one."""
-    ended = _t(spark, d, "lineitem").where("l_returnflag = 'R'").groupBy("l_orderkey").agg(F.max(_day("l_shipdate")).alias("ended"))
-    rows = _t(spark, d, "orders").join(ended, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    start = F.when(F.col("o_orderstatus") != "P", _day("o_orderdate"))
-    return rows.select("o_orderkey", F.coalesce("ended", start).alias("day"), F.col("ended").isNotNull().alias("has_end")).where("day is not null")
+    ended = _t(spark, d, "lineitem").where("l_returnflag = 'R'").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("ended"))
+    known = _statement(ended, _id("O", "l_orderkey"), "P582", time="ended").unionByName(_statement(_t(spark, d, "orders").where("o_orderstatus <> 'P'"), _id("O", "o_orderkey"), "P580", time="o_orderdate"))
+    rows = _t(spark, d, "orders").select("o_orderkey", _id("O", "o_orderkey").alias("season"))
+    rows = graph.optional(graph.optional(rows, known, "season", "P582", "end"), known, "season", "P580", "start")
+    rows = rows.withColumn("day", graph.first_bound(F.col("end"), F.col("start"))).where("day is not null")
+    return rows.select("o_orderkey", F.col("day").cast("date").alias("day"), F.col("end").isNotNull().alias("has_end"))
 
 
 @query("""
-select a.s_suppkey as k1, b.s_suppkey as k2 from supplier a join supplier b on a.s_nationkey = b.s_nationkey where cast(a.s_suppkey as varchar) < cast(b.s_suppkey as varchar)""")
+with e as (select l_partkey as a, l_suppkey as b from lineitem union select l_suppkey, l_partkey from lineitem)
+select a as k1, b as k2 from e where cast(a as varchar) < cast(b as varchar)""")
 def pair_canonical(spark, d):
-    """FLT-5, JOIN-5: symmetric pairs once, by their order as text."""
-    s = _t(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    both = s.withColumnRenamed("s_suppkey", "k1").join(s.withColumnRenamed("s_suppkey", "k2"), "s_nationkey")
-    return graph.pairs_once(both, "k1", "k2").select("k1", "k2")
+    """FLT-5, JOIN-5: edges that are stated from both sides, once, by their order as text."""
+    e = _t(spark, d, "lineitem").select(F.col("l_partkey").alias("k1"), F.col("l_suppkey").alias("k2")).distinct()
+    both = e.unionByName(e.select(F.col("k2").alias("k1"), F.col("k1").alias("k2")))
+    return graph.pairs_once(both, "k1", "k2").distinct()
 
 
 @query("""
@@ -178,8 +252,9 @@ def first_claim(spark, d):
 
 @query("select o_orderkey, cast(o_orderdate as date) as day from orders order by o_orderdate, o_orderkey limit 50")
 def topn_order_limit(spark, d):
-    """SRT-1, SRT-3: the first rows of a total order."""
-    return _t(spark, d, "orders").orderBy("o_orderdate", "o_orderkey").limit(50).select("o_orderkey", _day("o_orderdate").alias("day"))
+    """SRT-1, SRT-3: the first rows of a total order, as a template's candidates are."""
+    rows = _t(spark, d, "orders").select(F.lit(0).alias("tpl_ord"), "o_orderkey", "o_orderdate")
+    return harvest.numbered(rows, 50, ["o_orderdate", "o_orderkey"]).select("o_orderkey", _day("o_orderdate").alias("day"))
 
 
 @query("""
@@ -199,12 +274,11 @@ def quota_per_group(spark, d):
 
 
 @query("""
-with a as (select o_orderpriority as domain, count(*) as n from orders where o_totalprice > 400000 group by 1), r as (select domain, t.turn from a, lateral (select unnest(range(1, n + 1)) as turn) t),
-g as (select domain, max(turn) as quota from (select * from r order by turn, domain limit 17) group by 1) select a.domain, coalesce(quota, 0)::bigint as quota from a left join g using (domain)""")
+with a as (select o_orderstatus as domain, count(*) as n from orders group by 1), r as (select domain, t.turn from a, lateral (select unnest(range(1, n + 1)) as turn) t),
+g as (select domain, max(turn) as quota from (select * from r order by turn, domain limit 3000) group by 1) select a.domain, coalesce(quota, 0)::bigint as quota from a left join g using (domain)""")
 def quota_redistribution(spark, d):
     """SEL-10, SEL-13, DSN-7: what small groups leave goes to larger ones."""
-    n = _t(spark, d, "orders").where("o_totalprice > 400000").groupBy(F.col("o_orderpriority").alias("domain")).agg(F.count("*").alias("n"))
-    return select.spread_quota(n, 17)
+    return select.spread_quota(_t(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("domain")).agg(F.count("*").alias("n")), 3000)
 
 
 @query("""
@@ -219,35 +293,43 @@ def competitors(spark, d):
 
 
 @query("""
-with n as (select p_partkey, p_brand, %s as norm from part)
-select p_partkey, exists(select 1 from n b where b.norm = a.norm and b.p_partkey <> a.p_partkey and b.p_brand = a.p_brand) as same_type from n a""" % NORM.format("p_name"))
+with n as (select p_partkey, p_brand, p_name, %s as norm from part),
+k as (select a.p_partkey, a.p_brand, b.p_partkey as other, b.p_brand as kind, row_number() over (partition by a.p_partkey order by 'P' || b.p_partkey) as rn from n a join n b on a.norm = b.norm and a.p_partkey <> b.p_partkey),
+f as (select p_partkey, string_agg('P' || other, ',' order by 'P' || other) as found, bool_or(kind = p_brand) as same from k where rn <= 10 group by p_partkey)
+select n.p_partkey, case when found is null then 'label_unique' when not same then 'resolved_by_non_temporal_descriptor' when p_partkey %% 3 = 0 then 'resolved_by_non_temporal_descriptor' end as status,
+  case when found is null or not same then p_name when p_partkey %% 3 = 0 then p_name || ' in Lyon' end as descriptor, coalesce(found, '') as competitors
+from n left join f using (p_partkey)""" % NORM.format("p_name"))
 def competitor_type_exists(spark, d):
-    """JOIN-12: whether a competitor is of the same type, by two counts instead of pairs."""
-    rows = _t(spark, d, "part").select("p_partkey", "p_brand", text.normalize_name(F.col("p_name")).alias("norm"))
-    counts = rows.groupBy("norm", "p_brand").agg(F.count("*").alias("n"))
-    return rows.join(counts, ["norm", "p_brand"]).select("p_partkey", (F.col("n") > 1).alias("same_type"))
+    """JOIN-12, VAL-11, VAL-12, VAL-13, FLT-16, ARR-2: subjects with competitors, by the competitors' types and their own place."""
+    part = _t(spark, d, "part")
+    entities = part.select(_id("P", "p_partkey").alias("qid"), F.col("p_name").alias("label_en"), F.array().cast("array<string>").alias("aliases_en"))
+    places = F.when(F.col("p_partkey") % 3 == 0, F.array(F.lit("The Answer"), F.lit("Lyon"))).otherwise(F.array(F.lit("The Answer")))
+    rows = _candidates(part, p_partkey="p_partkey", tpl_ord=F.lit(0), cand_ord=F.col("p_partkey").cast("int"), subject_qid=_id("P", "p_partkey"), subject_label="p_name", subject_type_qid="p_brand", subject_type_label=F.lit("part"),
+                       target_property_pid=F.lit("P50"), answer_labels=F.array(F.lit("the answer")), source_metadata=harvest.record(schemas.SOURCE, subject_location_labels=places))
+    out = ambiguity.resolve(rows, names_of(entities), _statement(part, _id("P", "p_partkey"), "P31", item="p_brand"))
+    return out.select("p_partkey", "resolution.status", "resolution.descriptor", F.array_join("found_competitors", ",").alias("competitors"))
 
 
-@query("select l_partkey as id from lineitem union select l_suppkey from lineitem union select o_custkey from orders")
+@query("select l_partkey as id from lineitem union select l_suppkey from lineitem")
 def distinct_refs(spark, d):
-    """AGG-2, AGG-3, AGG-4, AGG-5, SRT-6: the ids that rows refer to, once each."""
-    line = _t(spark, d, "lineitem")
-    return line.select(F.col("l_partkey").alias("id")).unionByName(line.select(F.col("l_suppkey").alias("id"))).unionByName(_t(spark, d, "orders").select(F.col("o_custkey").alias("id"))).distinct()
+    """AGG-2, AGG-3, AGG-4, AGG-5, SRT-6: the ids that rows refer to, once each, in one pass."""
+    return graph.references(_t(spark, d, "lineitem"), ["l_partkey", "l_suppkey"])
 
 
 @query("select c_custkey from customer except select o_custkey from orders")
 def missing_set(spark, d):
     """SET-5, AGG-14: what is asked for and not there."""
-    return _t(spark, d, "customer").select("c_custkey").join(_t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").distinct()
+    return report.missing_domains(_t(spark, d, "customer").select(F.col("c_custkey").alias("domain")), _t(spark, d, "orders").select(F.col("o_custkey").alias("domain"))).withColumnRenamed("domain", "c_custkey")
 
 
 @query("""
-select 'customer' as kind, c_custkey as id from customer where c_acctbal > 9000 union all select 'supplier', s_suppkey from supplier union all select 'supplier', s_suppkey from supplier where s_acctbal > 0""")
+with p as (select 0 as part, c_custkey as t, 'customer' as kind, c_custkey as id from customer where c_acctbal > 9000 union all select 1, s_suppkey, 'supplier', s_suppkey from supplier union all select 2, s_suppkey, 'supplier', s_suppkey from supplier where s_acctbal > 0)
+select kind, id, (row_number() over (order by part, t) - 1)::int as tpl_ord from p""")
 def catalog_concatenation(spark, d):
-    """SET-2: one list after the other, repeated rows kept."""
-    named = lambda df, kind, key: df.select(F.lit(kind).alias("kind"), F.col(key).alias("id"))
+    """SET-2: one list after the other, repeated rows kept, numbered anew."""
+    named = lambda df, kind, key: df.select(F.lit(kind).alias("kind"), F.col(key).alias("id"), F.col(key).alias("tpl_ord"))
     s = _t(spark, d, "supplier")
-    return named(_t(spark, d, "customer").where("c_acctbal > 9000"), "customer", "c_custkey").unionByName(named(s, "supplier", "s_suppkey")).unionByName(named(s.where("s_acctbal > 0"), "supplier", "s_suppkey"))
+    return catalog.concatenated(named(_t(spark, d, "customer").where("c_acctbal > 9000"), "customer", "c_custkey"), named(s, "supplier", "s_suppkey"), named(s.where("s_acctbal > 0"), "supplier", "s_suppkey"))
 
 
 @query("select o_orderkey, o_custkey from orders where o_custkey not in (select c_custkey from customer where c_mktsegment = 'BUILDING')")
@@ -294,19 +376,15 @@ def full_statement_unique(spark, d):
 
 
 @query("""
-with a as (select p_partkey as id, p_brand, 'size: ' || p_size as d1, 'type: ' || p_type as d2 from part where p_partkey % 7 = 0),
+with a as (select p_partkey as id, p_brand, 'size: ' || p_size as d1, 'type: ' || p_type as d2 from part),
 f as (select id, p_brand, d1 as d from a union select id, p_brand, d2 from a),
 one as (select x.id, min(x.d) as d from f x where not exists (select 1 from f y where y.p_brand = x.p_brand and y.id <> x.id and y.d = x.d) group by x.id),
 two as (select id, d1, d2 from a x where not exists (select 1 from a y where y.p_brand = x.p_brand and y.id <> x.id and y.d1 = x.d1 and y.d2 = x.d2))
 select a.id, case when one.d is not null then one.d when two.d1 is not null then two.d1 || '; ' || two.d2 end as signature
 from a left join one on one.id = a.id left join two on two.id = a.id""")
 def smallest_signature(spark, d):
-    """SEL-11, DSN-1, DSN-3, DSN-4: the fewest descriptors that tell a part from the others of its brand.
-
-    As in the SQL, only every seventh part has a row, and only those are
-    compared; ``part_signatures`` takes any parts, whole tables too.
-    """
-    return part_signatures(_t(spark, d, "part").where("p_partkey % 7 = 0"))
+    """SEL-11, DSN-4: the fewest descriptors that tell a part from all others of its brand."""
+    return part_signatures(_t(spark, d, "part"))
 
 
 def part_signatures(part):
@@ -355,21 +433,9 @@ def mutable_wording(spark, d):
 
 @query("select doc_id, item_id from (select doc_id, %s as n from documents) d join (select item_id, %s as m from benchmark) b on m <> '' and contains(n, m)" % (NORM.format("text"), NORM.format("text")))
 def answer_leak(spark, d):
-    """JOIN-16, VAL-15: which texts hold which names.
-
-    A name may begin or end within a word of the text; the words in its middle
-    are whole words of both. So texts meet names by the longest of those, and
-    only texts that hold it are compared. (Names of one or two words, should
-    there be any, are compared with every text.)
-    """
-    names = _t(spark, d, "benchmark").select("item_id", text.normalize_name(F.col("text")).alias("m")).where("m <> ''").withColumn("w", F.split("m", " "))
-    docs = _t(spark, d, "documents").select("doc_id", text.normalize_name(F.col("text")).alias("n"))
-    middle = F.slice("w", F.lit(2), F.size("w") - 2)
-    anchored = names.where("size(w) > 2").select("item_id", "m", F.array_max(F.transform(middle, lambda x: F.struct(F.length(x).alias("size"), x.alias("word"))))["word"].alias("word"))
-    met = docs.select("doc_id", F.explode(F.array_distinct(F.split("n", " "))).alias("word")).join(anchored, "word").select("doc_id", "item_id", "m")
-    found = docs.join(met, "doc_id").where(F.contains("n", F.col("m"))).select("doc_id", "item_id")
-    short = docs.join(names.where("size(w) <= 2").select("item_id", "m"), F.contains("n", F.col("m"))).select("doc_id", "item_id")
-    return found.unionByName(short).distinct()
+    """JOIN-16: which texts hold which names."""
+    norm = text.normalize_name(F.col("text")).alias("norm")
+    return validate.texts_that_hold(_t(spark, d, "documents").select("doc_id", norm), _t(spark, d, "benchmark").select("item_id", norm), "doc_id", "item_id")
 
 
 @query("select o_orderkey, strftime(o_orderdate, '%-d %B %Y') as day from orders")
@@ -437,11 +503,44 @@ def answer_key(spark, d):
     return _t(spark, d, "events").select("event_id", text.answer_key(uri, value, F.when(F.col("event_type") != "view", F.col("event_type"))).alias("key"))
 
 
-@query("select event_id, json_extract_string(props, '$.k')::bigint as k, coalesce(json_extract_string(props, '$.missing'), '') as missing from events")
-def json_field(spark, d):
-    """MAP-1, JSN-1: fields of nested objects; missing is empty."""
-    x = F.from_json("props", "k long, missing string")
-    return _t(spark, d, "events").select("event_id", x["k"].alias("k"), F.coalesce(x["missing"], F.lit("")).alias("missing"))
+@query("""
+select 'C' || c_custkey as qid, c_name as label, case when c_custkey % 3 = 0 then '' else c_mktsegment end as description, case when c_custkey % 4 = 0 then '' else 'No. ' || c_nationkey || '|x' end as aliases from customer""")
+def document_entities(spark, d):
+    """SRC-1, PRJ-9, MAP-1, JSN-1: names of entity documents; fields that are missing are empty."""
+    out = entities_of(_documents(spark, d))
+    return out.select("qid", F.col("label_en").alias("label"), F.col("description_en").alias("description"), F.array_join("aliases_en", "|").alias("aliases"))
+
+
+@query("""
+with c as (select 'C' || c_custkey as subject, *, date '1950-01-01' + (c_custkey % 9000)::int as born from customer)
+select subject, 'P31' as pid, 0 as stmt_ord, 'normal' as rank, 'item' as kind, 'Q5' as value, null::int as precision, null as since from c
+union all select subject, 'P17', 0, 'preferred', 'item', 'N' || c_nationkey, null, '+' || born || 'T00:00:00Z' from c union all select subject, 'P17', 1, 'deprecated', 'item', 'N0', null, null from c
+union all select subject, 'P569', 0, 'normal', 'time', '+' || born || 'T00:00:00Z', 11, null from c
+union all select subject, 'P1448', 0, 'normal', 'string', c_name, null, null from c union all select subject, 'P1448', 1, 'normal', 'string', c_mktsegment, null, null from c union all select subject, 'P1448', 2, 'normal', 'string', null, null, null from c""")
+def document_claims(spark, d):
+    """SRC-1, ARR-1, JSN-1: the claims of entity documents, in their order, with ranks, kinds of values and qualifiers; a claim without a value stays."""
+    out = statements_of(_documents(spark, d))
+    since = F.get(F.try_element_at("qualifiers", F.lit("P580")), F.lit(0))["time"]
+    value = F.coalesce("value_id", "value_time", "value_text")
+    return out.select("subject", "pid", "stmt_ord", "rank", F.col("value_kind").alias("kind"), value.alias("value"), F.col("time_precision").alias("precision"), since.alias("since"))
+
+
+def _documents(spark, d):
+    """Customers as entity documents: JSON texts, read as the reader of files does."""
+    c, born = _t(spark, d, "customer"), F.concat(F.lit('{"time":"+'), F.date_add(F.lit("1950-01-01").cast("date"), (F.col("c_custkey") % 9000).cast("int")).cast("string"), F.lit('T00:00:00Z","precision":11}'))
+    quote = lambda x: F.to_json(F.struct(x.alias("v"))).substr(F.lit(6), F.length(F.to_json(F.struct(x.alias("v")))) - 6)
+    snak = lambda v: F.concat(F.lit('{"datavalue":{"value":'), v, F.lit("}}"))
+    claim = lambda v, more="": F.concat(F.lit('{"mainsnak":'), snak(v), F.lit(more if isinstance(more, str) else ""), *([] if isinstance(more, str) else [more]), F.lit("}"))
+    item = lambda x: F.concat(F.lit('{"id":"'), x, F.lit('"}'))
+    since = F.concat(F.lit(',"rank":"preferred","qualifiers":{"P580":['), snak(born), F.lit("]}"))
+    claims = [
+        F.lit('"P31":['), claim(item(F.lit("Q5"))), F.lit('],"P17":['), claim(item(_id("N", "c_nationkey")), since), F.lit(","), claim(item(F.lit("N0")), ',"rank":"deprecated"'), F.lit('],"P569":['), claim(born),
+        F.lit('],"P1448":['), claim(quote(F.col("c_name"))), F.lit(","), claim(F.concat(F.lit('{"text":'), quote(F.col("c_mktsegment")), F.lit(',"language":"en"}'))), F.lit(',{"mainsnak":{"snaktype":"novalue"}}]'),
+    ]
+    described = F.when(F.col("c_custkey") % 3 != 0, F.concat(F.lit('"descriptions":{"en":{"value":'), quote(F.col("c_mktsegment")), F.lit("}},"))).otherwise("")
+    named = F.when(F.col("c_custkey") % 4 != 0, F.concat(F.lit('"aliases":{"en":[{"value":'), quote(F.concat(F.lit("No. "), F.col("c_nationkey").cast("string"))), F.lit('},{"value":"x"}]},'))).otherwise("")
+    body = F.concat(F.lit('{"id":"'), _id("C", "c_custkey"), F.lit('","labels":{"en":{"value":'), quote(F.col("c_name")), F.lit("}},"), described, named, F.lit('"claims":{'), *claims, F.lit("}}"))
+    return c.select(F.from_json(body, DOCUMENT).alias("x")).select("x.*")
 
 
 @query("select p_partkey, 'Who made the ' || lower(p_type) || ' ' || p_name || '?' as question from part")
@@ -540,29 +639,86 @@ def answer_grades(spark, d):
     return c.join(first, "conv_id").select("conv_id", "turn", evaluate.grade(F.col("text"), F.col("answer"), F.array().cast("array<string>")).alias("grade"))
 
 
-@query("""
-select l_orderkey, l_linenumber, l_partkey, l_suppkey, case when p_name = '' then 'no_label' when l_quantity > 45 then 'too_many' when p_size < 5 then 'too_small' when l_discount > 0.05 then 'discounted' end as reason
-from lineitem join part on l_partkey = p_partkey""")
+def _variants(f):
+    return ", ".join(f"({k}, {'null' if why is None else repr(why)})" for k, (_, why) in enumerate(f))
+
+
+@query(f"""
+with v(v, reason) as (values {_variants(BROKEN)})
+select o_orderkey, case when v.v in {tuple(k for k, (x, _) in enumerate(BROKEN) if 'date_value' not in x)} and (reason is null or {' or '.join(f"reason = '{x}'" for x in AFTER_TIME)}) and cast(o_orderdate as date) > date '1997-06-30' then 'answer_not_time_invariant' else reason end as reason
+from orders join v on v.v = o_orderkey % {len(BROKEN)}""")
 def reject_reason(spark, d):
-    """VAL-1 to VAL-10: the first rule that is broken."""
-    rows = _t(spark, d, "lineitem").join(_t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    rules = [(F.col("p_name") == "", "no_label"), (F.col("l_quantity") > 45, "too_many"), (F.col("p_size") < 5, "too_small"), (F.col("l_discount") > 0.05, "discounted")]
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", validate.first_failure(rules).alias("reason"))
+    """VAL-1 to VAL-10, FLT-11, FLT-13: candidates that break each of the rules, one or several, on the days of orders: the first rule that is broken."""
+    why, _ = validate.rejection(Settings("1992", run_date="1997-06-30"))
+    return _broken(spark, d).select("o_orderkey", why.alias("reason"))
 
 
-@query("""
-select doc_id, regexp_matches(lower(text), '[a-z]') and n_chars > 100 and lang <> 'en' as all_flags from documents""")
+def _broken(spark, d):
+    """Orders' days in candidates of which each is broken in one of the ways of ``BROKEN``."""
+    made = spark.createDataFrame([{**SOUND, **{k: v for k, v in changes.items()}, "tpl_ord": i} for i, (changes, _) in enumerate(BROKEN)], schemas.CANDIDATES)
+    own = made.withColumn("keeps_day", ~F.col("tpl_ord").isin([i for i, (x, _) in enumerate(BROKEN) if "date_value" in x]))
+    rows = _t(spark, d, "orders").select("o_orderkey", _day("o_orderdate").cast("string").alias("day"), (F.col("o_orderkey") % len(BROKEN)).cast("int").alias("tpl_ord"))
+    return rows.join(own, "tpl_ord").withColumn("date_value", F.when(F.col("keeps_day"), F.col("day")).otherwise(F.col("date_value")))
+
+
+@query("select pid, reason from (values ('P26', 'mutable_relationship_or_status'), ('P451', 'mutable_relationship_or_status'), ('P39', 'mutable_affiliation_or_office'), ('P54', 'mutable_affiliation_or_office'), ('P102', 'mutable_affiliation_or_office'), ('P108', 'mutable_affiliation_or_office'), ('P1082', 'cumulative_statistic'), ('P1128', 'cumulative_statistic'), ('P106', 'answer_not_time_invariant'), ('P50', null)) as t(pid, reason)")
+def finer_reasons(spark, d):
+    """VAL-22, DSN-6: the reasons that tell apart why a property changes."""
+    pids = ["P26", "P451", "P39", "P54", "P102", "P108", "P1082", "P1128", "P106", "P50"]
+    why, _ = validate.rejection(Settings("1992", run_date="1999-06-30", finer_reasons=True))
+    rows = spark.createDataFrame([{**SOUND, "target_property_pid": p} for p in pids], schemas.CANDIDATES)
+    return rows.select(F.col("target_property_pid").alias("pid"), why.alias("reason"))
+
+
+_PRONE = """
+with c as (select *, turn %% 3 = 0 as multi, split_part(text, ' ', 3) as third, split_part(text, ' ', 5) as fifth, case when conv_id %% 2 = 0 then 'P17' else 'P50' end as pid, case when turn %% 5 = 4 then 'Date' else 'Person' end as kind from conversations),
+n as (select conv_id, turn, text, multi, pid, kind, third, fifth, %s as q, %s as n3, %s as n5, %s as nc from c)""" % tuple(NORM.format(x) for x in ("text", "third", "fifth", "'the ' || conv_id"))
+
+
+@query(_PRONE + f"""
+, f as (select conv_id, turn, kind = 'Date' or not regexp_matches(text, '{YEAR_SQL}') as no_year, kind = 'Date' or not regexp_matches(text, '{TEMPORAL_SQL}') as no_temporal_expression,
+  not (n3 <> '' and contains(q, n3) and turn % 2 = 0) as answer_not_leaked, not (pid = 'P17' and n5 <> '' and contains(q, n5)) as location_context_not_leaked,
+  not (multi and n5 <> '' and contains(q, n5) and n5 <> 'the subject') as bridge_not_leaked, not multi or nc = '' or contains(q, nc) as question_requires_all_hops from n)
+select *, question_requires_all_hops as shortcut_free, no_year and no_temporal_expression and answer_not_leaked and location_context_not_leaked and bridge_not_leaked and question_requires_all_hops as all_flags from f""")
 def all_flags(spark, d):
-    """FLT-13, FLT-14, ARR-3: all flags of a row."""
-    flags = F.array(F.lower("text").rlike("[a-z]"), F.col("n_chars") > 100, F.col("lang") != "en")
-    return _t(spark, d, "documents").select("doc_id", F.forall(flags, lambda x: x).alias("all_flags"))
+    """VAL-14 to VAL-18, VAL-20, FLT-14, ARR-3: turns as questions, their words as answers, places and bridges: each flag, and whether all hold."""
+    out = validate.flag(_prone(spark, d))
+    names = ("no_year", "no_temporal_expression", "answer_not_leaked", "location_context_not_leaked", "bridge_not_leaked", "question_requires_all_hops", "shortcut_free")
+    return out.select("conv_id", "turn", *(F.col(f"validation_flags.{n}").alias(n) for n in names), F.col("flags_ok").alias("all_flags"))
+
+
+@query(_PRONE + f"""
+select conv_id, turn, case when trim(coalesce(text, '')) = '' then 'rewrite_missing_question' when kind <> 'Date' and regexp_matches(text, '{YEAR_SQL}') then 'rewrite_contains_year' when kind <> 'Date' and regexp_matches(text, '{TEMPORAL_SQL}') then 'rewrite_contains_temporal_expression'
+  when not contains(q, nc) then 'rewrite_lost_required_anchor' when n3 <> '' and turn % 2 = 0 and contains(q, n3) then 'rewrite_leaks_answer' when multi and n5 <> '' and contains(q, n5) then 'rewrite_leaks_answer'
+  when regexp_matches(lower(text), '{"|".join(fixed.NOT_SIMPLE)}') or length(trim(text)) > 200 then 'rewrite_not_simple_question' end as failure
+from (select * replace (case when conv_id % 4 > 0 then '' else nc end as nc) from n)""")
+def rewrite_failures(spark, d):
+    """VAL-19, VAL-21, PRJ-14: turns as rewritten questions: the first check that each fails."""
+    rows = _prone(spark, d)
+    clues = F.when(F.col("conv_id") % 4 > 0, F.array().cast("array<string>")).otherwise(F.col("source_metadata.required_reasoning_clues"))
+    rows = rows.withColumn("source_metadata", F.col("source_metadata").withField("required_reasoning_clues", clues)).withColumn("subject_label", F.lit(""))
+    return rewrite.failure(rows, "canonical_question").select("conv_id", "turn", F.col("rewrite_failure").alias("failure"))
+
+
+def _prone(spark, d):
+    """Turns as questions that may give away their own words, which stand for answers, places and bridges."""
+    turns = _t(spark, d, "conversations")
+    word = lambda k: F.coalesce(F.get(F.split("text", " "), F.lit(k)), F.lit(""))
+    even = F.col("turn") % 2 == 0
+    return _candidates(
+        turns, conv_id="conv_id", turn="turn", canonical_question="text", subject_label=F.lit("the subject"), target_property_pid=F.when(F.col("conv_id") % 2 == 0, "P17").otherwise("P50"), answer_type=F.when(F.col("turn") % 5 == 4, "Date").otherwise("Person"),
+        reasoning_style=F.when(F.col("turn") % 3 == 0, "multi_hop_join").otherwise("single_fact"), answer_labels=F.when(even, F.array(word(2), F.lit("..."))).otherwise(F.array(F.lit("no such words here"))), answer_aliases=F.array().cast("array<string>"),
+        bridge_entities=F.array(harvest.record(schemas.BRIDGE, qid=F.lit("Qb"), label=word(4)), harvest.record(schemas.BRIDGE, qid=F.lit("Qs"), label=F.lit("The Subject"))),
+        provenance_complete=F.lit(True), hop_count=F.lit(0), reasoning_path=F.array().cast(schemas.CANDIDATES["reasoning_path"].dataType), derivation_signature=harvest.record(schemas.DERIVATION, rule=F.lit("r")),
+        source_metadata=harvest.record(schemas.SOURCE, subject_location_labels=F.array(word(4)), required_reasoning_clues=F.array(F.concat(F.lit("the "), F.col("conv_id").cast("string")))),
+    )
 
 
 @query("select doc_id from (select doc_id, row_number() over (partition by source, n order by doc_id) as rn from (select doc_id, source, %s as n from documents)) where rn = 1" % NORM.format("text"))
 def dedup_norm_question(spark, d):
     """SEL-9, AGG-8: the first of each normalised text of its source. Texts are told apart by a digest, so they aren't shuffled."""
     rows = _t(spark, d, "documents").select("doc_id", "source", F.sha2(text.normalize_name(F.col("text")), 256).alias("h"))
-    return rows.groupBy("source", "h").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    return select.dedup(rows, [["source", "h"]], ["doc_id"]).select("doc_id")
 
 
 @query("""
@@ -578,7 +734,7 @@ def path_connected(spark, d):
 
 
 @query("""
-with recursive p as (select p_partkey, p_brand as t, row_number() over (partition by p_brand order by p_partkey) as c, p_name as q from part where p_size > 5),
+with recursive p as (select p_partkey, p_brand as t, row_number() over (partition by p_brand order by p_partkey) as c, p_name as q from part),
 b as (select t, row_number() over (order by t) as k from (select distinct p_brand as t from part)), g(k, qs, ts, cs) as (
   select 0::bigint, []::varchar[], []::varchar[], []::bigint[] union all
   select g.k + 1, case when w.q is null then g.qs else list_append(g.qs, w.q) end, case when w.q is null then g.ts else list_append(g.ts, b.t) end, case when w.q is null then g.cs else list_append(g.cs, w.c) end
@@ -586,12 +742,24 @@ b as (select t, row_number() over (order by t) as k from (select distinct p_bran
 select unnest(ts) as brand, unnest(cs)::int as nth, unnest(qs) as question from (select * from g order by k desc limit 1)""")
 def greedy_select(spark, d):
     """SEL-1 to SEL-5, AGG-8: one question a template, none twice, up to a total."""
-    part = _t(spark, d, "part").where("p_size > 5").select("p_partkey", "p_brand", F.col("p_name").alias("question"))
+    part = _t(spark, d, "part").select("p_partkey", "p_brand", F.col("p_name").alias("question"))
     brands = part.select("p_brand").distinct().withColumn("tpl_ord", F.row_number().over(Window.partitionBy().orderBy("p_brand")))
     rows = part.withColumn("cand_ord", F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey"))).join(brands, "p_brand").withColumn("ok", F.lit(True))
     return select.greedy(rows, 20).where("outcome = 'accepted'").select(F.col("p_brand").alias("brand"), F.col("cand_ord").alias("nth"), "question")
 
 
+@query("""
+with p as (select p_partkey, p_brand, p_type, p_size, %s as q from part), a as (select *, row_number() over (partition by q order by p_brand, p_partkey) as n from p), b as (select *, row_number() over (partition by p_type, p_size order by p_brand, p_partkey) as m from a where n = 1),
+k as (select *, row_number() over (partition by p_brand order by p_partkey) as c, count(*) over (partition by p_brand) as size from b where m = 1),
+t as (select p_partkey, row_number() over (order by c, p_brand) <= 60 as won from k)
+select p_partkey, case when t.won then 'accepted' else 'rejected' end as outcome, t.won is null as is_duplicate, t.won is not null and not t.won as over_quota from p left join t using (p_partkey)""" % NORM.format("p_name"))
+def quota_select(spark, d):
+    """SEL-9, SEL-10, SEL-13, DSN-7: questions once, subjects with their property once, even quotas for each brand."""
+    part = _t(spark, d, "part")
+    rows = part.select("p_partkey", F.dense_rank().over(Window.orderBy("p_brand")).alias("tpl_ord"), F.col("p_partkey").cast("int").alias("cand_ord"), F.col("p_brand").alias("domain"), F.col("p_name").alias("question"), F.col("p_type").alias("subject_qid"), F.col("p_size").cast("string").alias("target_property_pid"), F.lit(True).alias("ok"))
+    return select.by_quota(rows, 60).select("p_partkey", "outcome", "is_duplicate", "over_quota")
+
+
 @query("""
 with c as (select o_custkey, count(*) filter (where o_orderstatus = 'F') as a, count(*) filter (where o_orderstatus = 'O') as r from orders group by 1)
 select c_custkey as domain, coalesce(a, 0)::bigint as accepted, coalesce(r, 0)::bigint as rejected, case when coalesce(a, 0) > 0 then 'accepted' when coalesce(r, 0) > 0 then 'rejected_only' else 'no_result' end as status
@@ -609,26 +777,43 @@ def rejection_reasons(spark, d):
     return report.reasons_by_domain(rows).select("domain", F.array_join("reasons", ",").alias("reasons"))
 
 
-@query("select 'order_' || lpad(cast(row_number() over (order by o_orderdate, o_orderkey) as varchar), 6, '0') as id, o_orderkey from (select * from orders order by o_orderdate, o_orderkey limit 200)")
+@query("select printf('order_%06d', row_number() over (order by o_orderdate, o_orderkey)) as id, o_orderkey from orders")
 def sequential_ids(spark, d):
-    """PRJ-18, PRJ-19, WIN-5: numbers over the accepted rows of a run."""
-    return select.numbered(_t(spark, d, "orders").orderBy("o_orderdate", "o_orderkey").limit(200), "order", ["o_orderdate", "o_orderkey"]).select("id", "o_orderkey")
+    """PRJ-18, PRJ-19, WIN-5: numbers in a total order, over ranges of it."""
+    return select.numbered(_t(spark, d, "orders"), "order", ["o_orderdate", "o_orderkey"]).select("id", "o_orderkey")
 
 
-@query("select c_custkey, c_mktsegment, n_name, case when c_mktsegment = 'BUILDING' then coalesce(n_name, '') else '' end as evidence from customer left join nation on c_nationkey = n_nationkey and n_regionkey = 1")
+@query("""
+select c_custkey, case when c_mktsegment <> 'BUILDING' and n_name is not null then n_name || ',run' else '' end as runs, case when c_mktsegment <> 'BUILDING' and n_name is not null then 'proven_in_runs' else 'not_yet_proven' end as evidence_status
+from customer left join nation on c_nationkey = n_nationkey and n_regionkey = 1""")
 def evidence_join(spark, d):
-    """JOIN-14, JOIN-15, PRJ-17: a small table beside each row, used only for some statuses."""
-    rows = _t(spark, d, "customer").join(_t(spark, d, "nation").where("n_regionkey = 1"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    return rows.select("c_custkey", "c_mktsegment", "n_name", F.when(F.col("c_mktsegment") == "BUILDING", F.coalesce("n_name", F.lit(""))).otherwise("").alias("evidence"))
+    """JOIN-14, JOIN-15, PRJ-17: recorded runs beside templates, which count only for those that are used."""
+    rows = _t(spark, d, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("domain"), F.when(F.col("c_mktsegment") == "BUILDING", "blueprint").otherwise("active").alias("status"), F.lit("").alias("evidence_status"), F.array().cast("array<string>").alias("evidence_runs"))
+    runs = _t(spark, d, "nation").where("n_regionkey = 1").select(F.col("n_nationkey").cast("string").alias("domain"), F.array("n_name", F.lit("run")).alias("evidence_runs"))
+    return catalog.with_evidence(rows, runs).select("c_custkey", F.array_join("evidence_runs", ",").alias("runs"), "evidence_status")
+
 
+def _catalog_sql() -> str:
+    """The catalog's export, straight from its rows."""
+    names = schemas.TEMPLATES.names
+    text_of = lambda v: "" if v is None else ",".join(v) if isinstance(v, (list, tuple)) else str(v).lower() if isinstance(v, bool) else str(v)
+    lines = []
+    for row in catalog.rows():
+        r = dict(zip(names, row, strict=True))
+        recipe = dict(zip(schemas.TEMPLATES["reasoning_recipe"].dataType.names, r["reasoning_recipe"], strict=True))
+        r |= {"activation_status": r["status"], **{k: recipe[k] for k in ("new_element_slot", "new_element_hop", "required_reasoning_clues")}}
+        lines.append(f"({r['tpl_ord']}, " + ", ".join("'" + text_of(r[c]).replace("'", "''") + "'" for c in report.EXPORT) + ")")
+    return f"select * from (values {', '.join(lines)}) as t(tpl_ord, {', '.join(report.EXPORT)})"
 
-@query("select 199::bigint as total, 24::bigint as number_total, 9::bigint as date_total, 20::bigint as temporal_total")
+
+@query(f"""
+select count(*) as total, count(*) filter (where answer_type = 'Number' or answer_format = 'number') as number_total, count(*) filter (where answer_format = 'date') as date_total, count(*) filter (where temporal_mode <> 'atemporal') as temporal_total from ({_catalog_sql()})""")
 def catalog_totals(spark, d):
-    """SRC-7, SRC-12: the catalog's own totals."""
+    """SRC-7, SRC-12, FLT-12, FLT-15: the catalog's own totals."""
     return report.catalog_totals(catalog.templates(spark))
 
 
-@query()
+@query(_catalog_sql())
 def catalog_export(spark, d):
     """PRJ-16, SNK-4: the catalog as text columns."""
     return report.catalog_rows(catalog.templates(spark))
@@ -663,3 +848,166 @@ def question_run(spark, d):
     tables = {"statements": statements, "entities": entities, "names": names_of(entities)}
     result = pipeline.run(tables, catalog.templates(spark, _RUN_TEMPLATES), Settings("1996", run_date="1999-06-30"))
     return result.accepted.select("domain", "question", "answer", "subject_qid", F.col("date_filter.value").alias("date_value"))
+
+
+# -- executors: orders and customers as subjects of several hops -------------------------------------------------------------
+
+
+_WINDOW = "between date '1996-01-01' and date '1997-06-30'"
+
+
+def _harvested(executor, tables: dict[str, DataFrame], line: str) -> DataFrame:
+    """The candidates of one template, all of them."""
+    spark = tables["statements"].sparkSession
+    templates = catalog.templates(spark, "[active]\n" + line)
+    settings = Settings("1996", run_date="1997-06-30", harvest_limit_per_template=1 << 30)
+    edges = tables["statements"].where("pid = 'P279'").select(F.col("subject").alias("child"), F.col("value_id").alias("parent"))
+    roots = spark.createDataFrame([(x,) for x in (fixed.FILM_CLASS, fixed.UNIVERSITY_CLASS, fixed.SEASON_CLASS, fixed.HUMAN_CLASS, "Q132241")], "root string")
+    return executor(tables, graph.class_closure(edges, roots), templates, settings)
+
+
+def _suppliers_of_orders(spark, d) -> DataFrame:
+    return _t(spark, d, "lineitem").select("l_orderkey", "l_suppkey").distinct()
+
+
+@query(f"""
+with f as (select o_orderkey, cast(o_orderdate as date) as day from orders where o_orderpriority <> '5-LOW' and cast(o_orderdate as date) {_WINDOW}),
+w as (select l_orderkey, min(l_suppkey) as work from lineitem group by 1 having count(distinct l_suppkey) = 1),
+c as (select 'F' || o_orderkey as film, 'W' || work as work, 'N' || s_nationkey as author, n_name, day from f join w on o_orderkey = l_orderkey join supplier on s_suppkey = work join nation on n_nationkey = s_nationkey where s_acctbal > 0)
+select film, work, author, n_name as label, cast(day as varchar) as day, row_number() over (order by day, film, author)::int as nth from c""")
+def source_works(spark, d):
+    """EXE-9, FLT-7: orders as films (most of them by a subclass), their one supplier as the work they are based on, its nation as the author."""
+    orders, suppliers, film = _t(spark, d, "orders"), _t(spark, d, "supplier"), _id("F", "o_orderkey")
+    kind = F.when(F.col("o_orderpriority") == "1-URGENT", "Q11424").when(F.col("o_orderpriority") == "5-LOW", "Q571").otherwise("Q24862")
+    short = _statement(spark.range(1), F.lit("Q24862"), "P279", item=F.lit("Q11424"))
+    st = short.unionByName(_statement(orders, film, "P31", item=kind)).unionByName(_statement(orders, film, "P577", time="o_orderdate"))
+    st = st.unionByName(_statement(_suppliers_of_orders(spark, d), _id("F", "l_orderkey"), "P144", item=_id("W", "l_suppkey")))
+    st = st.unionByName(_statement(suppliers, _id("W", "s_suppkey"), "P50", item=_id("N", "s_nationkey"), rank=F.when(F.col("s_acctbal") > 0, "preferred").otherwise("deprecated")))
+    entities = _entities((_t(spark, d, "nation"), _id("N", "n_nationkey"), "n_name"))
+    out = _harvested(harvest.source_work_authors, {"statements": st, "entities": entities}, "film_source_work_author | Arts | Person | f | Q11424 | film | P577 | P50 | author | Who wrote {descriptor}? | style=fact_join")
+    work = F.get("bridge_entities", F.lit(0))["qid"]
+    return out.select(F.col("subject_qid").alias("film"), work.alias("work"), F.get("answer_qids", F.lit(0)).alias("author"), F.get("answer_labels", F.lit(0)).alias("label"), F.col("date_value").alias("day"), F.col("cand_ord").alias("nth"))
+
+
+@query(f"""
+with e as (select o_custkey, 'E' || o_orderkey as edition, o_orderkey, cast(o_orderdate as date) as day, row_number() over (partition by o_custkey order by cast(o_orderdate as date), 'E' || o_orderkey) as place from orders),
+w as (select l_orderkey, min(l_suppkey) as winner from lineitem group by 1 having count(distinct l_suppkey) = 1)
+select 'C' || o_custkey as series, edition, 'S' || winner as winner, place::int as place, c_name || ' Cup' as descriptor, cast(day as varchar) as day
+from e join w on o_orderkey = l_orderkey join customer on o_custkey = c_custkey where day {_WINDOW}""")
+def ordinal_winners(spark, d):
+    """EXE-10, EXE-11, EXE-12, FLT-8, FLT-9, FLT-10, WIN-1: orders as editions of their customer's tournament, one supplier as the winner; places are those in the whole history."""
+    orders, edition = _t(spark, d, "orders"), _id("E", "o_orderkey")
+    series = _t(spark, d, "customer").select("c_custkey", F.concat("c_name", F.lit(" Cup 1996")).alias("label"))
+    st = _statement(orders, edition, "P31", item=F.lit("Q132241")).unionByName(_statement(orders, edition, "P179", item=_id("C", "o_custkey"))).unionByName(_statement(orders, edition, "P585", time="o_orderdate"))
+    st = st.unionByName(_statement(_suppliers_of_orders(spark, d), _id("E", "l_orderkey"), "P1346", item=_id("S", "l_suppkey")))
+    entities = _entities((series, _id("C", "c_custkey"), "label"), (_t(spark, d, "supplier"), _id("S", "s_suppkey"), "s_name"))
+    out = _harvested(harvest.tournament_winners, {"statements": st, "entities": entities}, "ordinal_tournament_winner | Sports | Person | f | Q132241 | tournament | P585 | P1346 | winner | Who won the {ordinal} {descriptor}? | style=ordinal_fact")
+    meta = F.col("source_metadata.ordinal_metadata")
+    return out.select(F.col("subject_qid").alias("series"), meta["edition_qid"].alias("edition"), F.get("answer_qids", F.lit(0)).alias("winner"), meta["ordinal_value"].alias("place"), meta["descriptor"].alias("descriptor"), F.col("date_value").alias("day"))
+
+
+@query(f"""
+with s as (select o_custkey, o_orderkey % 40 as u, cast(o_orderdate as date) as day from orders where o_orderkey % 40 % 4 <> 3 and o_orderstatus <> 'P'),
+e as (select *, min(day) over (partition by o_custkey) as least from s), o as (select *, count(*) over (partition by o_custkey) as n from e where day = least)
+select 'C' || o_custkey as person, 'U' || u as university, cast(day as varchar) as day from o where n = 1 and day {_WINDOW}""")
+def first_degrees(spark, d):
+    """EXE-8, VAL-9, WIN-2: orders as degrees that customers took at universities: the earliest, if it is the only one of its day, of those of the right kind."""
+    orders, customers = _t(spark, d, "orders"), _t(spark, d, "customer")
+    degree = F.when(F.col("o_orderstatus") != "P", "D1")
+    at = F.when(degree.isNotNull(), _at("P582", "o_orderdate", P512=degree)).otherwise(_at("P582", "o_orderdate"))
+    university = F.concat(F.lit("U"), (F.col("o_orderkey") % 40).cast("string"))
+    st = _statement(orders, _id("C", "o_custkey"), "P69", item=university, qualifiers=at).unionByName(_statement(customers, _id("C", "c_custkey"), "P31", item=F.lit("Q5")))
+    places = spark.range(40).select("id", F.concat(F.lit("College "), F.col("id").cast("string")).alias("label"))
+    st = st.unionByName(_statement(places, _id("U", "id"), "P31", item=F.when(F.col("id") % 4 == 3, "Q515").otherwise("Q3918")))
+    entities = _entities((customers, _id("C", "c_custkey"), "c_name"), (places, _id("U", "id"), "label"))
+    out = _harvested(harvest.first_degrees, {"statements": st, "entities": entities}, "person_first_degree_university | Education | Organization | f | Q5 | human | P582 | P69 | university | Where did {descriptor} study? | style=fact_join")
+    return out.select(F.col("subject_qid").alias("person"), F.get("answer_qids", F.lit(0)).alias("university"), F.col("date_value").alias("day"))
+
+
+_BORN = "date '1940-01-01' + (x * 37 % 18000)::int"
+_COUPLES = f"""
+with c as (select distinct 'C' || o_custkey as a, o_custkey as ka, 'C' || (o_orderkey % 97 + 1) as b, o_orderkey % 97 + 1 as kb, o_orderkey, cast(o_orderdate as date) as day from orders),
+g as (select *, {_BORN.replace('x', 'ka')} as born_a, {_BORN.replace('x', 'kb')} as born_b from c where day {_WINDOW}),
+y as (select *, year(day) - year(born_a) - case when (month(day), day(day)) < (month(born_a), day(born_a)) then 1 else 0 end as age_a, year(day) - year(born_b) - case when (month(day), day(day)) < (month(born_b), day(born_b)) then 1 else 0 end as age_b from g where born_a <= day and born_b <= day)"""
+
+
+def _couples(spark, d) -> dict[str, DataFrame]:
+    """Orders as marriages of their customer and one of 97 others."""
+    customers = _t(spark, d, "customer")
+    spouse = F.concat(F.lit("C"), (F.col("o_orderkey") % 97 + 1).cast("string"))
+    st = _statement(_t(spark, d, "orders"), _id("C", "o_custkey"), "P26", item=spouse, qualifiers=_at("P580", "o_orderdate"), order=F.col("o_orderkey").cast("int"))
+    born = customers.withColumn("born", F.date_add(F.lit("1940-01-01").cast("date"), (F.col("c_custkey") * 37 % 18000).cast("int")))
+    st = st.unionByName(_statement(born, _id("C", "c_custkey"), "P569", time="born"))
+    return {"statements": st, "entities": _entities((customers, _id("C", "c_custkey"), "c_name"))}
+
+
+_WEDDING = "wedding_age_gap | Society | Number | f | Q5 | human | P580 | P26 | spouse | What was the age gap of {descriptor}? | format=number; style=fact_join"
+
+
+@query(_COUPLES + "\nselect distinct a as person, b as spouse, abs(age_a - age_b)::varchar as gap, cast(day as varchar) as day from y where a < b")
+def wedding_gaps(spark, d):
+    """EXE-6, JOIN-4, JOIN-5, FLT-5, FLT-6, DAT-7: couples once, by the order of their ids, and the difference of their ages at the wedding."""
+    out = _harvested(harvest.wedding_age_gaps, _couples(spark, d), _WEDDING)
+    spouse = F.get("bridge_entities", F.lit(0))["qid"]
+    return out.select(F.col("subject_qid").alias("person"), spouse.alias("spouse"), F.get("answer_labels", F.lit(0)).alias("gap"), F.col("date_value").alias("day"))
+
+
+@query(_COUPLES + """
+select a as person, b as spouse, abs(age_a - age_b)::varchar as gap, cast(day as varchar) as day from (select *, row_number() over (partition by a order by o_orderkey, b) as rn from y) where rn = 1""")
+def first_weddings(spark, d):
+    """EXE-7, FLT-6, WIN-3, AGG-6: of each person, the first marriage in the order of the claims that has all it needs."""
+    out = _harvested(harvest.wedding_age_gaps_by_person, _couples(spark, d), _WEDDING)
+    spouse = F.get("bridge_entities", F.lit(0))["qid"]
+    return out.select(F.col("subject_qid").alias("person"), spouse.alias("spouse"), F.get("answer_labels", F.lit(0)).alias("gap"), F.col("date_value").alias("day"))
+
+
+@query("""
+with e as (select user_id % 7 as run, event_type as t, event_id, user_id % 5 + 1 as attempt from events),
+n as (select run, event_id, (row_number() over (partition by run order by event_id) - 1) // 100 as part from e)
+select run, part, count(*) as n, min(event_id) as first, max(event_id) as last, any_value(total) as total, any_value(retries) as retries
+from n join (select run, count(*) as total, count(*) filter (where attempt > 1) as retries from e group by run) c using (run) group by run, part""")
+def telemetry_snapshot(spark, d):
+    """AGG-18: counters of several runs beside copies of their events, of which no row holds more than a part."""
+    e = _t(spark, d, "events").select((F.col("user_id") % 7).alias("run"), "event_id", F.when(F.col("event_type") == "view", "network").alias("kind"), F.lit("ok").alias("status"), (F.col("user_id") % 5 + 1).alias("attempt"))
+    counters, parts = report.snapshot(e, ["run"], ["event_id"], per_row=100)
+    ids = F.transform("events", lambda x: x["event_id"])
+    parts = parts.select("run", "part", F.size(ids).cast("long").alias("n"), F.array_min(ids).alias("first"), F.array_max(ids).alias("last"))
+    return parts.join(counters.select("run", F.col("total_requests").alias("total"), "retries"), "run")
+
+
+@query("""
+select o_orderkey, case when o_orderkey % 3 = 0 then 'http://www.wikidata.org/entity/' || 'Q' || o_custkey else o_comment_like end as value, case when o_orderkey % 3 = 0 then 'Q' || o_custkey end as id
+from (select *, 'literal ' || o_orderpriority as o_comment_like from orders)""")
+def query_bindings(spark, d):
+    """SRC-2, SRC-9, STR-9: the bindings of stored answers of a query service; only addresses of entities have ids."""
+    from factspark.sources import ingest
+
+    bound = F.when(F.col("o_orderkey") % 3 == 0, F.struct(F.lit("uri").alias("type"), F.concat(F.lit(fixed.ENTITY_PREFIX + "Q"), F.col("o_custkey").cast("string")).alias("value"))).otherwise(F.struct(F.lit("literal").alias("type"), F.concat(F.lit("literal "), "o_orderpriority").alias("value")))
+    key = F.struct(F.lit("literal").alias("type"), F.col("o_orderkey").cast("string").alias("value"))
+    rows = _t(spark, d, "orders").select((F.col("o_orderkey") % 50).alias("page"), F.struct(key.alias("k"), bound.alias("v")).alias("b")).groupBy("page").agg(F.to_json(F.struct(F.struct(F.collect_list("b").alias("bindings")).alias("results"))).alias("body"))
+    answers = rows.select(F.col("page").cast("string").alias("cache_key"), F.lit(1.0).alias("fetched_at"), F.lit(None).cast("string").alias("error"), "body")
+    stale = answers.select("cache_key", F.lit(2.0).alias("fetched_at"), F.lit("HTTP 500").alias("error"), F.lit(None).cast("string").alias("body"))
+    out = ingest.binding_rows(answers.unionByName(stale), ["k", "v"])
+    return out.select(F.col("k").cast("long").alias("o_orderkey"), F.col("v").alias("value"), F.col("v_qid").alias("id"))
+
+
+@query("""
+with s as (select o_custkey, o_orderkey, cast(o_orderdate as date) as day, o_orderstatus from orders)
+select 'C' || o_custkey as subject, count(distinct o_orderkey) as n, bool_and(o_orderstatus = 'F') as is_stable from s where o_orderstatus <> 'P' group by 1""")
+def stable_counts(spark, d):
+    """DSN-8, AGG-17: counts of values, and whether nothing ties them to a time."""
+    rank = F.when(F.col("o_orderpriority") == "x", "preferred").otherwise("normal")
+    orders = _t(spark, d, "orders").where("o_orderstatus <> 'P'")
+    timed = F.when(F.col("o_orderstatus") == "O", _at("P585", "o_orderdate"))
+    return graph.stable_counts(_statement(orders, _id("C", "o_custkey"), "P1", item=_id("O", "o_orderkey"), rank=rank, qualifiers=timed), "P1")
+
+
+@query("""
+with own as (select o_custkey, o_orderkey, cast(o_orderdate as date) as day from orders where o_orderstatus <> 'O'), later as (select o_custkey, min(cast(o_orderdate as date)) as begun from orders where o_orderstatus = 'O' group by 1),
+m as (select own.*, max(day) over (partition by own.o_custkey) as last from own join later using (o_custkey) where day <= begun), k as (select *, count(*) over (partition by o_custkey) as n from m where day = last)
+select 'C' || o_custkey as subject, 'O' || o_orderkey as value_id, cast(day as varchar) as ended from k where n = 1""")
+def claims_before(spark, d):
+    """DSN-8: the last claim that ended before the first of another kind began, none on a tie."""
+    orders = _t(spark, d, "orders")
+    own = lambda where, pid, at: _statement(orders.where(where), _id("C", "o_custkey"), pid, item=_id("O", "o_orderkey"), qualifiers=_at(at, "o_orderdate"))
+    return graph.claims_before(own("o_orderstatus <> 'O'", "P69", "P582").unionByName(own("o_orderstatus = 'O'", "P108", "P580")), "P69", "P108")

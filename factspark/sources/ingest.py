@@ -7,14 +7,19 @@ run asks only for what isn't there, and errors are rows that hide no answer.
 
 from __future__ import annotations
 
+import http.client
+import socket
+import ssl
 import time
+import urllib.error
+import urllib.request
 from collections.abc import Callable, Iterator
-from urllib.parse import quote, urlencode
+from urllib.parse import quote, unquote, urlencode, urlsplit
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factspark.functions.text import cache_key
+from factspark.functions.text import cache_key, normalize_name, strip
 from factspark.plans.settings import Settings
 from factspark.shipping import shipped
 
@@ -64,6 +69,21 @@ def entity_requests(ids: DataFrame, base: str, id_col: str = "qid", per_request:
     return groups.select(F.concat(F.lit(f"{base}?action=wbgetentities&ids="), F.array_join(F.array_sort("ids"), "|"), tail).alias("url"), F.lit(accept).alias("accept"))
 
 
+def search_key(name: Column) -> Column:
+    """The key of a stored search: the name as it is normalised (as it is written, if nothing is left of it)."""
+    norm = normalize_name(name)
+    return F.concat(F.lit("search:"), F.when(norm != "", norm).otherwise(F.lower(name)))
+
+
+def entity_key(qid: Column) -> Column:
+    return F.concat(F.lit("entity:"), qid)
+
+
+def query_key(query: Column) -> Column:
+    """The key of a stored query: a hash of its text, white space apart."""
+    return F.concat(F.lit("query:"), F.sha2(strip(F.regexp_replace(query, r"(?U)\s+", " ")), 256))
+
+
 def missing(requests: DataFrame, answers: DataFrame) -> DataFrame:
     """Requests that no stored answer without an error is there for."""
     keyed = requests.withColumn("cache_key", cache_key(F.col("accept"), F.col("url"))).dropDuplicates(["cache_key"])
@@ -116,16 +136,82 @@ def documents_of(answers: DataFrame) -> DataFrame:
     return last.select("id", *(F.col(f"doc.{c}").alias(c) for c in DOCUMENT.names if c != "id"))
 
 
-def urllib_transport(timeout: float = 30.0, user_agent: str = "factspark", proxy: str | None = None) -> Callable[[], Transport]:
-    """A transport over HTTP; proxies must be HTTP ones (``ValueError`` otherwise)."""
-    if proxy and not proxy.startswith(("http://", "https://")):
+def socks_connection(proxy: str, host: str, port: int, timeout: float) -> socket.socket:
+    """A connection to a host through a SOCKS 5 proxy (RFC 1928, 1929). ``socks5h`` leaves names to the proxy, ``socks5`` resolves them here."""
+    at = urlsplit(proxy)
+    conn = socket.create_connection((at.hostname, at.port or 1080), timeout)
+
+    def read(n: int) -> bytes:
+        got = b""
+        while len(got) < n:
+            more = conn.recv(n - len(got))
+            if not more:
+                raise ConnectionError("the proxy closed the connection")
+            got += more
+        return got
+
+    try:
+        conn.sendall(b"\x05\x02\x00\x02" if at.username else b"\x05\x01\x00")
+        method = read(2)[1]
+        if method == 2 and at.username:
+            user, word = unquote(at.username).encode(), unquote(at.password or "").encode()
+            conn.sendall(b"\x01" + bytes([len(user)]) + user + bytes([len(word)]) + word)
+            if read(2)[1]:
+                raise ConnectionError("the proxy refused the login")
+        elif method:
+            raise ConnectionError("the proxy offers no login that is known")
+        if at.scheme == "socks5h":
+            name = host.encode("idna")
+            where = b"\x03" + bytes([len(name)]) + name
+        else:
+            family, *_, address = socket.getaddrinfo(host, port, type=socket.SOCK_STREAM)[0]
+            where = (b"\x04" if family == socket.AF_INET6 else b"\x01") + socket.inet_pton(family, address[0])
+        conn.sendall(b"\x05\x01\x00" + where + port.to_bytes(2, "big"))
+        _, failed, _, kind = read(4)
+        if failed:
+            raise ConnectionError(f"the proxy could not connect: reply {failed}")
+        read({1: 4, 4: 16}.get(kind) or read(1)[0])
+        read(2)
+    except BaseException:
+        conn.close()
+        raise
+    return conn
+
+
+def proxy_handlers(proxy: str | None, timeout: float = 30.0) -> list:
+    """What ``urllib.request.build_opener`` needs to go through an HTTP(S) or SOCKS 5 proxy; ``ValueError`` for others."""
+    if not proxy:
+        return []
+    scheme = urlsplit(proxy).scheme.lower()
+    if scheme in ("http", "https"):
+        return [urllib.request.ProxyHandler({"http": proxy, "https": proxy})]
+    if scheme not in ("socks5", "socks5h"):
         raise ValueError(f"unsupported proxy: {proxy}")
 
-    def make() -> Transport:
-        import urllib.error
-        import urllib.request
+    class Plain(http.client.HTTPConnection):
+        def connect(self) -> None:
+            self.sock = socks_connection(proxy, self.host, self.port, timeout)
 
-        opener = urllib.request.build_opener(*([urllib.request.ProxyHandler({"http": proxy, "https": proxy})] if proxy else []))
+    class Secure(http.client.HTTPSConnection):
+        def connect(self) -> None:
+            self.sock = ssl.create_default_context().wrap_socket(socks_connection(proxy, self.host, self.port, timeout), server_hostname=self.host)
+
+    class Handler(urllib.request.HTTPHandler, urllib.request.HTTPSHandler):
+        def http_open(self, request):
+            return self.do_open(Plain, request)
+
+        def https_open(self, request):
+            return self.do_open(Secure, request)
+
+    return [urllib.request.ProxyHandler({}), Handler()]
+
+
+def urllib_transport(timeout: float = 30.0, user_agent: str = "factspark", proxy: str | None = None) -> Callable[[], Transport]:
+    """A transport over HTTP, through an HTTP(S) or SOCKS 5 proxy if there is one (``ValueError`` for other kinds)."""
+    proxy_handlers(proxy)
+
+    def make() -> Transport:
+        opener = urllib.request.build_opener(*proxy_handlers(proxy, timeout))
 
         def call(url: str, accept: str) -> tuple[int, str]:
             try:

@@ -42,6 +42,7 @@ DOCUMENTS = [
     entity("Q501", "Jane Doe", ["J. Doe"]), entity("Q502", "Andy Weir"), entity("Q503", None), entity("Q504", "Example Author"),
     # films
     film("Q101", "Hidden Harbor", kind="Q24863", P144=item("Q301"), aliases=["Harbor"], description="a short film"),
+    entity("Q121", "Harbor", P31=item("Q11424")),
     film("Q102", "Two Heads", ["Q501", "Q502"]),
     film("Q103", "Summer 2027"),
     film("Q104", "May Queen"),
@@ -49,7 +50,7 @@ DOCUMENTS = [
     film("Q106", "Tomorrow", day="2026-11-01"),
     film("Q107", "Twin"), entity("Q207", "Twin (novel)", P31=item("Q571")),
     film("Q108", "Same", P276=item("Q601")), film("Q109", "Same!", day="2010-01-01"),
-    film("Q110", "Echo"), film("Q111", "ECHO", day="2010-01-01"),
+    film("Q110", "Echo", P136=item("Q822")), entity("Q822", "drama"), film("Q111", "ECHO", day="2010-01-01"),
     film("Q112", "The Andy Weir Story", "Q502"),
     film("Q113", "Two Days", day=["2026-02-03", "2026-02-04"]),
     entity("Q114", "Ranked", P31=item("Q11424"), P577=time("2026-02-05"), P57=[with_(item("Q502"), "deprecated"), with_(item("Q501"), "preferred"), with_(item("Q504"))]),

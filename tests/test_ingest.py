@@ -2,6 +2,7 @@ import json
 
 import pytest
 from golden import DOCUMENTS
+from pyspark.sql import functions as F
 
 from factspark import catalog, schemas
 from factspark.operators import graph
@@ -58,7 +59,70 @@ def test_bindings_and_queries(spark):
     assert "wdt:P31 wd:Q33506" in ingest.candidate_query(catalog.by_domain(every, "museum_country").first(), settings)
     assert ingest.query_url(BASE, "a b").endswith("query=a%20b&format=json")
     with pytest.raises(ValueError):
-        ingest.urllib_transport(proxy="socks5://x")
+        ingest.urllib_transport(proxy="ftp://x")
+
+
+@pytest.mark.parametrize(("scheme", "login"), [("socks5", ""), ("socks5h", ""), ("socks5h", "me:se%20cret@"), ("socks5h", "me:wrong@")])
+def test_socks_proxies(scheme, login):
+    import http.server
+    import socketserver
+    import threading
+
+    class Page(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(b"hello " + self.headers["Accept"].encode())
+
+        def log_message(self, *args):
+            pass
+
+    kinds = []
+
+    class Proxy(socketserver.StreamRequestHandler):
+        def handle(self):
+            import socket
+
+            methods = self.rfile.read(self.rfile.read(2)[1])
+            self.wfile.write(b"\x05\x02" if 2 in methods else b"\x05\x00")
+            if 2 in methods:
+                user = self.rfile.read(self.rfile.read(2)[1])
+                word = self.rfile.read(self.rfile.read(1)[0])
+                good = (user, word) == (b"me", b"se cret")
+                self.wfile.write(b"\x01\x00" if good else b"\x01\x01")
+                if not good:
+                    return
+            kind = self.rfile.read(4)[3]
+            kinds.append(kind)
+            host = socket.inet_ntoa(self.rfile.read(4)) if kind == 1 else self.rfile.read(self.rfile.read(1)[0]).decode()
+            onward = socket.create_connection((host, int.from_bytes(self.rfile.read(2), "big")))
+            self.wfile.write(b"\x05\x00\x00\x01" + bytes(6))
+            request = b""
+            while b"\r\n\r\n" not in request:
+                request += self.connection.recv(4096)
+            onward.sendall(request)
+            while more := onward.recv(4096):
+                self.wfile.write(more)
+
+    with http.server.ThreadingHTTPServer(("127.0.0.1", 0), Page) as page, socketserver.ThreadingTCPServer(("127.0.0.1", 0), Proxy) as proxy:
+        for server in (page, proxy):
+            threading.Thread(target=server.serve_forever, daemon=True).start()
+        call = ingest.urllib_transport(timeout=5, proxy=f"{scheme}://{login}127.0.0.1:{proxy.server_address[1]}")()
+        url = f"http://127.0.0.1:{page.server_address[1]}/x"
+        if "wrong" in login:
+            with pytest.raises(OSError):
+                call(url, "text/plain")
+        else:
+            assert call(url, "text/plain") == (200, "hello text/plain")
+            assert kinds == [1 if scheme == "socks5" else 3]
+        for server in (page, proxy):
+            server.shutdown()
+
+
+def test_keys_of_stored_answers(spark):
+    rows = spark.createDataFrame([("The  Café (film)", "select ?x\n where"), ("東京", " select ?x where ")], "name string, query string")
+    got = rows.select(ingest.search_key(F.col("name")).alias("s"), ingest.query_key(F.col("query")).alias("q"), ingest.entity_key(F.lit("Q1")).alias("e")).collect()
+    assert [r.s for r in got] == ["search:the cafe", "search:東京"] and got[0].q == got[1].q and got[0].e == "entity:Q1"
 
 
 def test_ordered_claims_and_stable_counts(spark):

@@ -68,6 +68,41 @@ def test_flags(spark, changes, flag, value):
         assert not row.flags_ok
 
 
+def test_further_phrases(spark):
+    extra = Settings("2026", run_date="2026-05-05", extra_phrases=True)
+    for label, why in (("Published in Error", "subject_label_contains_temporal_expression"), ("Example Film", None)):
+        assert candidate(spark, subject_label=label).select(validate.rejection(extra)[0].alias("r")).first().r == why
+        assert reason(spark, subject_label=label) is None
+
+
+@pytest.mark.parametrize("at_once", [2, 10_000])
+def test_texts_that_hold_names(spark, monkeypatch, at_once):
+    monkeypatch.setattr(validate, "NAMES_AT_ONCE", at_once)
+    texts = ["the red fox ran over the hill", "a bored foxglove ran over it all", "fox", "", "red fox", "ran over", None, "one two three four", "one two xthree four"]
+    names = ["red fox", "fox", "red fox ran over", "red foxglove ran over it", "", None, "ed fox ran ov", "two three f", "over", "red fox"]
+    a = spark.createDataFrame(list(enumerate(texts)), "doc_id int, norm string")
+    b = spark.createDataFrame(list(enumerate(names)), "item_id long, norm string")
+    want = {(i, j) for i, t in enumerate(texts) for j, n in enumerate(names) if t and n and n in t}
+    got = [tuple(r) for r in validate.texts_that_hold(a, b, "doc_id", "item_id").collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert validate.texts_that_hold(a, b.limit(0), "doc_id", "item_id").count() == 0
+    plan = validate.texts_that_hold(a, b, "doc_id", "item_id")._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_numbers_over_ranges(spark):
+    df = spark.range(20_000).selectExpr("id * 7919 % 20011 as k", "cast(id % 3 as string) as g").repartition(7)
+    got = {r.k: r.id for r in select.numbered(df, "x", ["g", "k"]).collect()}
+    order = sorted((r.g, r.k) for r in df.collect())
+    assert got == {k: f"x_{n:06d}" for n, (_, k) in enumerate(order, 1)}
+
+
+def test_the_fold_gets_few_rows_of_each_template(spark):
+    df = spark.range(100_000).selectExpr("cast(id % 4 as int) as tpl_ord", "cast(id as int) as cand_ord", "concat('q', id % 1000) as question", "true as ok")
+    got = select.greedy(df, 3).where("outcome is not null").select("tpl_ord", "cand_ord", "outcome").collect()
+    assert sorted(map(tuple, got)) == [(0, 0, "accepted"), (1, 1, "accepted"), (2, 2, "accepted")]
+
+
 def test_finer_reasons(spark):
     rows = spark.createDataFrame([("P26",), ("P451",), ("P39",), ("P1082",), ("P50",)], "target_property_pid string")
     assert [r[0] for r in rows.select(validate.finer_reason()).collect()] == ["mutable_relationship_or_status", "mutable_relationship_or_status", "mutable_affiliation_or_office", "cumulative_statistic", None]
@@ -162,8 +197,12 @@ def test_problem_counts(spark):
     got = {r.key: r.n for r in report.problem_counts(events, statuses).collect()}
     assert got == {"request_error:HTTPError": 1, "request_error:Timeout": 1, "request_error:unknown": 1, "network_limit:http_429": 1, "network_limit:timeout": 1, "outcome:no_result": 1, "outcome:rejected_only": 1, "error:X": 1}
     log = spark.createDataFrame([("network", "ok", 1), ("network", "error", 2), ("cache_hit", "ok", 1)], "kind string, status string, attempt int")
-    row = report.request_counters(log).first()
-    assert (row.total_requests, row.network_requests, row.cache_hits, row.retries, row.errors, len(row.events)) == (3, 2, 1, 1, 1, 3)
+    counters, parts = report.snapshot(log, per_row=2)
+    row = counters.first()
+    assert (row.total_requests, row.network_requests, row.cache_hits, row.retries, row.errors) == (3, 2, 1, 1, 1)
+    assert [[e.kind for e in r.events] for r in parts.orderBy("part").collect()] == [["cache_hit", "network"], ["network"]]
+    counters, parts = report.snapshot(log, by=["kind"])
+    assert {r.kind: r.total_requests for r in counters.collect()} == {"network": 2, "cache_hit": 1} == {r.kind: len(r.events) for r in parts.collect()}
 
 
 def test_closure_with_a_cycle_and_a_limit(spark):
@@ -171,6 +210,7 @@ def test_closure_with_a_cycle_and_a_limit(spark):
     got = {tuple(r) for r in graph.class_closure(edges, spark.createDataFrame([("c",), ("z",)], "root string")).collect()}
     assert got == {("c", "c"), ("b", "c"), ("a", "c"), ("d", "c"), ("z", "z")}
     assert graph.class_closure(edges).where("cls = 'd'").count() == 4
+    assert {tuple(r) for r in graph.class_closure(edges.limit(0), edges.select("parent").limit(1)).collect()} == {("b", "b")}
     long = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(6)], "child string, parent string")
     with pytest.raises(ValueError):
         graph.class_closure(long, most_rounds=3)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from factspark import catalog
 from factspark.operators import graph, harvest, report, rewrite, select
-from factspark.plans import cli, pipeline
+from factspark.plans import cli, pipeline, sweep
 from factspark.plans.settings import Settings
 from factspark.sources import readers, sinks
 
@@ -151,7 +151,90 @@ def test_rewrite_parts(judged):
         rewrite.client_factory(Settings("2026").rewrite or type("C", (), {"provider": "other"})())
     assert rewrite.client_factory(None) is None
     prompt = rows.where("subject_qid = 'Q101'").select(rewrite.prompt()).first()[0]
-    assert "Preserve all required anchors" in prompt and "Hidden Harbor" in prompt
+    assert all(r in prompt for r in rewrite.RULES) and "required_anchors" in prompt and "Hidden Harbor" in prompt
+
+
+def again(tables, judged, **changes):
+    settings = Settings("2026", run_date="2026-06-01", date_upper_bound="2026-12-31", **changes)
+    _, chosen = judged
+    candidates = harvest.harvest(tables, pipeline.closure_of(tables, chosen), chosen, settings)
+    rows = pipeline.judge(candidates, tables, chosen, settings)
+    return {(r.domain, r.subject_qid): r for r in rows.collect()}, settings, rows
+
+
+def test_rules_of_the_design(tables, judged):
+    got, _, _ = again(tables, judged, signatures=True)
+    assert got["film_director", "Q110"].canonical_question == "Who directed the film Echo, genre: drama?" and got["film_director", "Q110"].disambiguation_signature == ["genre: drama"]
+    got, _, _ = again(tables, judged, signatures=True, alias_competitors=True)
+    assert got["film_director", "Q101"].rejection_reason is None and got["film_director", "Q101"].competitor_qids == ["Q121"]  # told apart by what it is based on
+    got, _, _ = again(tables, judged, alias_competitors=True)
+    assert got["film_director", "Q101"].rejection_reason == "same_label_competitor_requires_temporal_disambiguation"
+    got, _, _ = again(tables, judged, full_statements=True, finer_reasons=True)
+    assert got["film_director", "Q114"].rejection_reason == "answer_not_unique" and got["film_director", "Q107"].rejection_reason is None
+    assert got["wedding_age_gap", "Q701"].rejection_reason == "mutable_relationship_or_status" and got["film_director", "Q106"].rejection_reason == "future_dated_or_unsettled_fact"
+
+
+def test_quotas(tables, judged):
+    _, settings, rows = again(tables, judged, quota_by="domain", pilot_total=8)
+    result = pipeline.finish(rows, settings)
+    got = [r.domain for r in result.accepted.orderBy("id").collect()]
+    assert len(got) == 8 and got.count("film_director") == 2 == got.count("ordinal_tournament_winner") and len(set(got)) == 6
+    lost = {(r.subject_qid, r.rejection_reason) for r in result.rejected.where("domain = 'film_director'").collect()}
+    assert ("Q113", "duplicate_question") in lost and any(why == "quota_exceeded" for _, why in lost)
+    with pytest.raises(ValueError):
+        Settings("2026", quota_by="subject")
+
+
+def test_sweep_goes_on_where_the_last_one_stopped(spark, documents, tables, templates, tmp_path, monkeypatch):
+    some = templates.where("domain in ('film_director', 'museum_country', 'rail_station_country')")
+    out, calls = str(tmp_path), []
+    run = pipeline.run
+    monkeypatch.setattr(pipeline, "run", lambda *a: calls.append(sorted({r.domain for r in a[1].collect()})) or run(*a))
+    row = sweep.sweep(tables, some.where("domain <> 'rail_station_country'"), SETTINGS, out).first()
+    assert (row.accepted_domains, row.no_result_domains, row.problem_counts) == (["film_director"], ["museum_country"], {"outcome:no_result": 1})
+    row = sweep.sweep(tables, some, SETTINGS, out).first()
+    assert calls == [["film_director", "museum_country"], ["rail_station_country"]] and row.accepted_domains == ["film_director", "rail_station_country"]
+    assert {r.domain: r.status for r in sweep.manifest(spark, out).collect()} == {"film_director": "accepted", "museum_country": "no_result", "rail_station_country": "accepted"}
+    records = spark.read.json(f"{out}/accepted_all").collect()
+    assert [(r.id, r.domain) for r in records] == [("wikidata_verified_pilot_000001", "film_director"), ("wikidata_verified_pilot_000002", "rail_station_country")]
+    assert "- `museum_country`" in (tmp_path / "notes.md").read_text() and "outcome:no_result" in (tmp_path / "notes.md").read_text()
+    # Another target time has runs of its own.
+    other = Settings("2025", run_date="2026-06-01", date_upper_bound="2026-12-31")
+    sweep.sweep(tables, some.where("domain = 'museum_country'"), other, out)
+    assert calls[-1] == ["museum_country"]
+
+
+def test_sweep_tries_again_and_then_one_by_one(spark, tables, templates, tmp_path, monkeypatch):
+    some = templates.where("domain in ('film_director', 'museum_country')")
+    waits, run, broken = [], pipeline.run, [True]
+
+    def breaks(*args):
+        if broken[0] and "museum_country" in {r.domain for r in args[1].collect()}:
+            raise TimeoutError("timed out")
+        return run(*args)
+
+    monkeypatch.setattr(pipeline, "run", breaks)
+    row = sweep.sweep(tables, some, SETTINGS, str(tmp_path), wait=waits.append).first()
+    assert (row.accepted_domains, row.error_domains, waits) == (["film_director"], ["museum_country"], [3.0] * 4) and row.problem_counts == {"error:TimeoutError": 1}
+    broken[0] = False
+    row = sweep.sweep(tables, some, SETTINGS, str(tmp_path), wait=waits.append).first()
+    assert (row.accepted_domains, row.error_domains, row.no_result_domains, len(waits)) == (["film_director"], [], ["museum_country"], 4)
+
+
+def test_other_commands(spark, documents, tmp_path):
+    assert cli.main(["export", "--output", f"{tmp_path}/c"]) == 0
+    assert spark.read.csv(f"{tmp_path}/c/catalog", sep="\t", header=True).count() == 199 and "## Definitions" in (tmp_path / "c" / "review.md").read_text()
+    assert cli.main(["demo", "--documents", documents, "--target-time", "2026", "--run-date", "2026-06-01", "--wedding", "Q701", "--degree", "Q801", "--output", f"{tmp_path}/d"]) == 0
+    shown = spark.read.json(f"{tmp_path}/d").orderBy("id").collect()
+    assert [(r.id, r.domain) for r in shown] == [("composed_demo_000001", "person_first_degree_university"), ("composed_demo_000002", "wedding_age_gap")]
+    assert cli.main(["sweep", "--documents", documents, "--target-time", "2026", "--run-date", "2026-06-01", "--domains", "film_director", "--output", f"{tmp_path}/s"]) == 0
+    assert spark.read.json(f"{tmp_path}/s/summary").first().accepted_total == 1
+    (tmp_path / "p.jsonl").write_text("\n".join(json.dumps({"id": r.id, "prediction": r.answer if k else "I don't know"}) for k, r in enumerate(shown)))
+    assert cli.main(["evaluate", "--dataset", f"{tmp_path}/d", "--predictions", f"{tmp_path}/p.jsonl", "--model-name", "m", "--by", "domain", "--output", f"{tmp_path}/e"]) == 0
+    got = {r.domain: (r.n, r.accuracy, r.not_attempted_rate, r.attempt_rate, r.model_name) for r in spark.read.json(f"{tmp_path}/e/metrics").collect()}
+    assert got == {"person_first_degree_university": (1, 0.0, 1.0, 0.0, "m"), "wedding_age_gap": (1, 1.0, 0.0, 1.0, "m")}
+    with pytest.raises(SystemExit):
+        cli.main(["demo", "--documents", documents, "--target-time", "2026", "--output", f"{tmp_path}/x"])
 
 
 def test_command_line(spark, documents, tmp_path):
