@@ -44,6 +44,7 @@ _N_CLASSES = 16
 # States: what the piece that is going on looks like so far.
 _STATES = "begin letters numbers others space white spaces whites quote quote_r quote_v quote_l contraction".split()
 _S = {name: i for i, name in enumerate(_STATES)}
+_SUFFIX = 16
 HERE, BEFORE = 1, 2  # a piece begins at this symbol; at the one before it
 
 
@@ -113,6 +114,13 @@ def _classes() -> np.ndarray:
     return out
 
 
+def _chunk_maps(columns: np.ndarray) -> np.ndarray:
+    maps = np.repeat(np.arange(len(_STATES), dtype=np.uint8)[:, None], columns.shape[1], axis=1)
+    for c in columns:
+        maps = STEP[(maps << 4) | c]
+    return maps
+
+
 def piece_starts(symbols: np.ndarray, chunk: int = 256) -> np.ndarray:
     """Whether a piece begins at each symbol, for texts that each end with END."""
     n = len(symbols)
@@ -122,10 +130,10 @@ def piece_starts(symbols: np.ndarray, chunk: int = 256) -> np.ndarray:
     padded = np.full(rows * chunk, END, np.uint8)
     padded[:n] = symbols
     columns = np.ascontiguousarray(padded.reshape(rows, chunk).T)
-    # The map of every chunk: each state, stepped through all its symbols.
-    maps = np.repeat(np.arange(len(_STATES), dtype=np.uint8)[:, None], rows, axis=1)
-    for c in columns:
-        maps = STEP[(maps << 4) | c]
+    # The map of every chunk: each state, stepped through its symbols. If the last few lead from all states to one, so does the whole chunk.
+    maps = _chunk_maps(columns[-_SUFFIX:])
+    if len(columns) > _SUFFIX and len(open_ := np.flatnonzero((maps != maps[0]).any(0))):
+        maps[:, open_] = _chunk_maps(columns[:, open_])
     # Prefix scan: after the round of width w, maps[:, i] covers the chunks i-2w+1 .. i.
     width = 1
     while width < rows:
@@ -156,6 +164,8 @@ class BpeCounter:
 
     #: Compiled transitions, and counted pieces, that are kept; beyond, they are dropped and made anew.
     MOST_EDGES, MOST_PIECES = 1 << 20, 1 << 19
+    #: Bytes of a long piece whose map is kept.
+    CHUNK = 64
 
     def __init__(self, merges: list[tuple[bytes, bytes]], tokens: list[bytes]):
         self._rank = {pair: i for i, pair in reversed(list(enumerate(merges)))}
@@ -183,6 +193,7 @@ class BpeCounter:
         first = ((0, None, 0),)
         self._states, self._ids = [first], {first: 0}
         self._edges: dict[int, int] = {}
+        self._maps: dict[tuple[int, bytes], tuple[int, int]] = {}
 
     def _merge(self, data: bytes) -> tuple[list[bytes], tuple[bytes, bytes] | None]:
         """What BPE makes of the bytes, straight from its definition, and the pair that it merges last."""
@@ -247,14 +258,30 @@ class BpeCounter:
     def count(self, piece: bytes) -> int:
         if len(self._edges) >= self.MOST_EDGES:
             self._clear()
-        edges, state, total = self._edges, 0, 0
-        for byte in piece:
+        if len(piece) <= 2 * self.CHUNK:
+            return self._walk(0, piece)[1]
+        # A long piece is the composition of its chunks' maps; those that were met before aren't walked again.
+        state, total = 0, 0
+        for at in range(0, len(piece), self.CHUNK):
+            key = (state, piece[at : at + self.CHUNK])
+            if key not in self._maps:
+                if len(self._maps) >= 1 << 14:
+                    self._maps.clear()
+                self._maps[key] = self._walk(*key)
+            state, more = self._maps[key]
+            total += more
+        return total
+
+    def _walk(self, state: int, data: bytes) -> tuple[int, int]:
+        """The state that the bytes lead to, and how the count changes."""
+        edges, total = self._edges, 0
+        for byte in data:
             edge = edges.get(state << 8 | byte)
             if edge is None:
                 edge = edges[state << 8 | byte] = self._compile(state, byte)
             state = edge >> 8
             total += (edge & 255) - 128
-        return total
+        return state, total
 
 
 class TokenCounter:
@@ -301,27 +328,57 @@ class TokenCounter:
         if not len(data):
             return out
         # One symbol for every code point, and END after every text; and the byte at which each symbol begins.
-        first = np.flatnonzero((data & 0xC0) != 0x80)
-        kinds = _classes()[np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)]
+        plain = int(data.max()) < 128
+        first = np.arange(len(data)) if plain else np.flatnonzero((data & 0xC0) != 0x80)
+        kinds = _classes()[data if plain else np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)]
         ends = np.searchsorted(first, offsets[1:])
         symbols, at = np.insert(kinds, ends, END), np.insert(first, ends, offsets[1:])
         starts = piece_starts(symbols) & (symbols != END)
         begin = at[starts]
         stops = np.append(begin[1:], len(raw))
-        pieces, count, known = [], self._bpe.count, self._pieces
+        # Each different piece of the block is counted once.
+        which, each = different(data, begin, stops)
+        sums = np.concatenate([[0], np.cumsum(self._count(raw, begin[which], stops[which])[each])])
+        edges = np.searchsorted(begin, offsets)
+        np.add.at(out, owners, sums[edges[1:]] - sums[edges[:-1]])
+        return out
+
+
+    def _count(self, raw: bytes, begin: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        count, known = self._bpe.count, self._pieces
         if len(known) > self._bpe.MOST_PIECES:
             known.clear()
+        out = []
         for piece in map(raw.__getitem__, map(slice, begin.tolist(), stops.tolist())):
             tokens = known.get(piece)
             if tokens is None:
                 tokens = count(piece)
                 if len(piece) <= 64:
                     known[piece] = tokens
-            pieces.append(tokens)
-        sums = np.concatenate([[0], np.cumsum(np.array(pieces, np.int64))])
-        edges = np.searchsorted(begin, offsets)
-        np.add.at(out, owners, sums[edges[1:]] - sums[edges[:-1]])
-        return out
+            out.append(tokens)
+        return np.array(out, np.int64)
+
+
+def different(data: np.ndarray, begin: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pieces that lie one after the other, the numbers of different ones, and for each piece which of those it is.
+
+    Pieces are told apart by a hash, and then compared byte by byte with the
+    first one of their hash: those that differ from it are taken as different.
+    """
+    sizes = stops - begin
+    place = np.arange(begin[0], stops[-1]) - np.repeat(begin, sizes)
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.full(int(sizes.max()), 0x9E3779B97F4A7C15, np.uint64))
+        own = data[begin[0] : stops[-1]]
+        hashes = np.add.reduceat((own.astype(np.uint64) + np.uint64(1)) * powers[place], begin - begin[0])
+        hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    _, which, each = np.unique(hashes, return_index=True, return_inverse=True)
+    first = which[each]
+    odd = np.flatnonzero(sizes != sizes[first])
+    like = np.minimum(np.repeat(begin[first], sizes) + place, len(data) - 1)
+    odd = np.union1d(odd, np.flatnonzero(np.add.reduceat(own != data[like], begin - begin[0])))
+    each[odd] = len(which) + np.arange(len(odd))
+    return np.concatenate([which, odd]), each
 
 
 @lru_cache(2)

@@ -1,7 +1,10 @@
 import re
+import unicodedata
 from html import unescape
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 from factspark.llm.html import extract, op3_html_text, render
 
@@ -103,3 +106,80 @@ def test_long_style_sheets():
     assert render("<style>" + "@media print{" * 50_000 + ".x{display:none}" + "</style><p class=x>a") == "a"
     assert render("<style>" + "\"'/{;" * 50_000 + "</style><p>a") == "a"
     assert render("<style>" + "; " * 200_000 + "</style><p>a") == "a"
+
+
+def plain_layout(html):
+    """The layout of a page of paragraphs, headings and flat lists, by markers in its text instead of boxes."""
+    bare = re.sub(r"(?s)<(script|style|title|head)\b.*?</\1>|<!--.*?-->|<!DOCTYPE[^>]*>|</?(a|b|meta|head)\b[^>]*>", "", html)
+    block = r"</?(?:p|h1|ul|li|html|body|nav|div|article|footer)\b"
+    bare = re.sub(rf"(?s)(<p\b[^>]*>(?:(?!{block}).)*)(?=<(?!/p\b))", r"\1</p>", bare)  # the end that is left out
+    marks = [(r"</?(p|h1|ul)\b[^>]*>", "\x01"), (r"<li\b[^>]*>", "\x02\x03"), (r"</?(li|html|body|nav|div|article|footer)\b[^>]*>", "\x02"), (r"<br\s*/?>", "\x04")]
+    for tag, mark in marks:
+        bare = re.sub(tag, mark, bare)
+    out = ""
+    for part in re.split(r"([\x01-\x04])", re.sub(r"[ \t\n\r\f]+", " ", unescape(bare))):
+        if part in ("\x01", "\x02", "\x04"):
+            out = out.rstrip(" ") + part
+        elif part == "\x03" or part.strip(" "):
+            out += "- " if part == "\x03" else part.lstrip(" ") if not out or out[-1] in "\x01\x02\x04" or out.endswith("\x02- ") else part
+        elif out and out[-1] not in " \x01\x02\x04":
+            out += part
+    gap = lambda m: "\n" * max(m[0].count("\x04"), 2 if "\x01" in m[0] else 1)
+    return re.sub(r"[\x01\x02\x04]+", gap, out.strip(" \x01\x02\x04"))
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "check_s"])
+def test_the_layout_of_every_page(spark, sf):
+    pages = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet")
+    if {"table", "ol", "pre"} & {m for r in pages.limit(200).collect() for m in re.findall(r"<(table|ol|pre)\b", r.html or "")}:
+        pytest.skip("the check knows paragraphs and flat lists only")
+    text = {r.page_id: r.text for r in op3_html_text(spark, f"/root/testdata/{sf}").collect()}
+    wrong = [r.page_id for r in pages.collect() if r.html is not None and plain_layout(r.html) != text[r.page_id]]
+    assert not wrong, wrong[:5]
+
+
+word = st.text("abcxyzäß漢", min_size=1, max_size=7)
+items = st.recursive(st.lists(st.tuples(word, st.none()), min_size=1, max_size=4), lambda inner: st.lists(st.tuples(word, st.none() | st.tuples(st.booleans(), inner)), min_size=1, max_size=4), max_leaves=12)
+
+
+def list_html(numbered, rows):
+    tag = "ol" if numbered else "ul"
+    return f"<{tag}>" + "".join(f"<li> {w} " + (list_html(*below) if below else "") for w, below in rows) + f"</{tag}>"
+
+
+def list_lines(numbered, rows):
+    out = []
+    for k, (w, below) in enumerate(rows, 1):
+        marker = f"{k}. " if numbered else "- "
+        out.append(marker + w)
+        if below:
+            out += [" " * len(marker) + x for x in list_lines(*below)]
+    return out
+
+
+@given(st.booleans(), items)
+def test_lists_of_any_shape(numbered, rows):
+    assert render(f"x{list_html(numbered, rows)}y").split("\n") == ["x", "", *list_lines(numbered, rows), "", "y"]
+
+
+@given(st.integers(1, 4).flatmap(lambda n: st.lists(st.lists(st.lists(word, max_size=3), min_size=n, max_size=n), min_size=1, max_size=5)), st.booleans())
+def test_tables_of_any_size_are_aligned(rows, closed):
+    """Cells of several lines, empty ones too: every column begins at one place, two blanks after the widest cell before it."""
+    html = "<table>" + "".join("<tr>" + "".join(f"<td>{'<br>'.join(cell)}" + "</td>" * closed for cell in row) for row in rows) + "</table>"
+    wide = lambda w: sum(1 + (unicodedata.east_asian_width(c) in "WF") for c in w)
+    got = render(html)
+    for measure in (len, wide):
+        widths = [max((measure(w) for row in rows for w in row[k]), default=0) for k in range(len(rows[0]))]
+        want = []
+        for row in rows:
+            for line in range(max(map(len, row))):
+                cells = [cell[line] if line < len(cell) else "" for cell in row]
+                out, at = "", 0
+                for k, w in enumerate(cells):
+                    if widths[k]:
+                        out += " " * (at - measure(out)) + w if w else ""
+                        at += widths[k] + 2
+                want.append(out)
+        if got.strip("\n").split("\n") == "\n".join(want).strip("\n").split("\n"):
+            return
+    raise AssertionError((html, got, want))

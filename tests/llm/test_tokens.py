@@ -5,6 +5,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from factspark.llm import tokens
 from factspark.llm.tokens import END, BpeCounter, TokenCounter, op2_token_counts, piece_starts, token_counts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -98,3 +99,22 @@ def test_text_that_is_not_utf8(spark, library):
     df = spark.sql("select 1L as doc_id, cast(X'61ff62' as string) as text union all select 2L, 'ab'")
     got = {r.id: r.n_tokens for r in token_counts(df, PATH).collect()}
     assert got == {1: len(library.encode("a�b", add_special_tokens=False).ids), 2: 1}
+
+
+def test_different_pieces_even_if_hashes_meet(monkeypatch):
+    rng = np.random.default_rng(4)
+    pieces = [bytes(rng.integers(97, 100, rng.integers(1, 5)).astype(np.uint8)) for _ in range(3000)] + [b"a" * 5000]
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    stops = np.cumsum([len(p) for p in pieces])
+    begin = stops - [len(p) for p in pieces]
+    check = lambda: [pieces[tokens.different(data, begin, stops)[0][k]] for k in tokens.different(data, begin, stops)[1]]
+    assert check() == pieces and len(tokens.different(data, begin, stops)[0]) == len(set(pieces))
+    monkeypatch.setattr(tokens.np, "unique", lambda h, **k: (h[:1], np.array([0]), np.zeros(len(h), np.int64)))
+    assert check() == pieces
+
+
+def test_long_pieces_are_composed_of_chunks():
+    bpe = TokenCounter(PATH)._bpe
+    for text in ("a" * 5000, "ab" * 4000, "-=" * 3000, "x" + "é" * 2000, "漢字" * 1500, " " * 4000 + "x"):
+        raw = text.encode()
+        assert bpe.count(raw) == bpe._walk(0, raw)[1]
