@@ -1011,3 +1011,174 @@ def claims_before(spark, d):
     orders = _t(spark, d, "orders")
     own = lambda where, pid, at: _statement(orders.where(where), _id("C", "o_custkey"), pid, item=_id("O", "o_orderkey"), qualifiers=_at(at, "o_orderdate"))
     return graph.claims_before(own("o_orderstatus <> 'O'", "P69", "P582").unionByName(own("o_orderstatus = 'O'", "P108", "P580")), "P69", "P108")
+
+
+# -- a run's parts ---------------------------------------------------------------------------------------------------------
+
+
+@query("""
+with s as (select o_orderkey as k, o_custkey, cast(o_orderdate as date) as day, case when o_orderkey % 7 = 0 then '' when o_orderkey % 11 = 0 then 'Order 1996' when o_orderkey % 13 = 0 then 'Twin' else 'Order ' || o_orderkey end as label from orders),
+c as (select s.*, case when o_custkey % 19 = 0 then '' else c_name end as answer, row_number() over (order by day, 'Q' || (1000000 + k)) as nth from s join customer on o_custkey = c_custkey where k % 17 <> 0 and day between date '1996-01-01' and date '1997-06-30'),
+r as (select *, case when label = '' then 'no_english_label' when answer = '' then 'no_answer_label' when label = 'Order 1996' then 'subject_label_contains_year' when label = 'Twin' then 'same_label_competitor_requires_temporal_disambiguation' end as reason from c)
+select 'Q' || (1000000 + k) as subject, nth::int as nth, label, answer, cast(day as varchar) as day, reason, case when reason is null then 'Who placed the order ' || label || '?' else '' end as question from r""")
+def judged_candidates(spark, d):
+    """PRJ-1, PRJ-6, JOIN-2, EXE-1, VAL-1 to VAL-12, AGG-7: all candidates of a template of one fact, with orders as subjects of which some have no label, a year in it, one that others have too, or two answers."""
+    from factspark.plans import pipeline
+
+    orders, customers = _t(spark, d, "orders"), _t(spark, d, "customer")
+    k, qid = F.col("o_orderkey"), lambda base, c: F.concat(F.lit("Q"), (F.lit(base) + F.col(c)).cast("string"))
+    subject, answer = qid(1_000_000, "o_orderkey"), qid(5_000_000, "o_custkey")
+    st = _statement(orders, subject, "P31", item=F.lit("Q77")).unionByName(_statement(orders, subject, "P577", time="o_orderdate")).unionByName(_statement(orders, subject, "P50", item=answer))
+    st = st.unionByName(_statement(orders.where(k % 17 == 0).withColumn("o_custkey", F.col("o_custkey") + 1), subject, "P50", item=answer, order=F.lit(1)))
+    labelled = orders.withColumn("label", F.when(k % 7 == 0, "").when(k % 11 == 0, "Order 1996").when(k % 13 == 0, "Twin").otherwise(F.concat(F.lit("Order "), k.cast("string"))))
+    named = customers.withColumn("label", F.when(F.col("c_custkey") % 19 == 0, "").otherwise(F.col("c_name")))
+    entities = _entities((labelled, subject, "label"), (named, qid(5_000_000, "c_custkey"), "label"))
+    tables = {"statements": st, "entities": entities, "names": names_of(entities)}
+    templates = catalog.templates(spark, "[active]\norders | Orders | Person | f | Q77 | order | P577 | P50 | author | Who placed the {subject_kind} {descriptor}? | exact")
+    settings = Settings("1996", run_date="1997-06-30", harvest_limit_per_template=1 << 30, over_fetch=1 << 20)
+    rows = pipeline.judge(harvest.harvest(tables, pipeline.closure_of(tables, templates), templates, settings), tables, templates, settings)
+    label = F.coalesce(F.get("answer_labels", F.lit(0)), F.lit(""))
+    return rows.select(F.col("subject_qid").alias("subject"), F.col("cand_ord").alias("nth"), F.col("subject_label").alias("label"), label.alias("answer"), F.col("date_value").alias("day"), F.col("rejection_reason").alias("reason"), F.col("canonical_question").alias("question"))
+
+
+@query("""
+with c as (select l_orderkey, l_linenumber, 'P' || l_partkey as qid, case when p_size > 10 then p_name else '' end as label from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey where o_orderstatus = 'F')
+select 'O' || l_orderkey as subject, string_agg(qid, ',' order by l_linenumber, qid) as qids, coalesce(string_agg(label, ',' order by l_linenumber, qid) filter (where label <> ''), '') as labels from c group by l_orderkey""")
+def claim_labels(spark, d):
+    """PRJ-10, ARR-1, ARR-2, JOIN-10: the items of a property in the order of its claims, and their labels without the empty ones."""
+    claims = _statement(_t(spark, d, "lineitem"), _id("O", "l_orderkey"), "P31", item=_id("P", "l_partkey"), order=F.col("l_linenumber"))
+    part = _t(spark, d, "part").withColumn("label", F.when(F.col("p_size") > 10, F.col("p_name")).otherwise(""))
+    out = harvest.items_of(claims, _entities((part, _id("P", "p_partkey"), "label")), _t(spark, d, "orders").where("o_orderstatus = 'F'").select(_id("O", "o_orderkey").alias("subject")), ["P31"])
+    return out.select("subject", F.array_join("qids", ",").alias("qids"), F.array_join("labels", ",").alias("labels"))
+
+
+@query("""
+with k as (select p_partkey, p_size, lower(p_type) as t, case p_size % 3 when 0 then 'film' when 1 then 'artwork' else 'building' end as kind from part)
+select p_partkey, case when p_size % 2 = 1 then t || ' ' || kind when kind = 'artwork' then 'mural' when kind = 'building' then 'tower' else 'film' end as kind from k""")
+def subject_kinds(spark, d):
+    """PRJ-11, SET-3: the first type label that says more than the default kind and agrees with it."""
+    kind = F.when(F.col("p_size") % 3 == 0, "film").when(F.col("p_size") % 3 == 1, "artwork").otherwise("building")
+    finer = F.when(F.col("p_size") % 2 == 1, F.concat(F.lower("p_type"), F.lit(" "), kind)).otherwise(F.concat(F.lit("a very very long "), kind))
+    return _t(spark, d, "part").select("p_partkey", harvest.subject_kind(kind, F.array("p_name", F.lit("work"), kind, finer, F.lit("mural"), F.lit("tower"))).alias("kind"))
+
+
+@query("""
+select p_partkey, p_brand || '|clue ' || p_size || case when p_size % 4 > 0 then '|' || p_name else '' end as anchors, 'Who made ' || p_name || '?' as asked, p_type as relation from part""")
+def rewrite_payloads(spark, d):
+    """PRJ-14, PRJ-15, MAP-2: what a rewriting client is told: the anchors, and the payload at the end of the prompt."""
+    part = _t(spark, d, "part")
+    rows = _candidates(part, p_partkey="p_partkey", canonical_question=F.concat(F.lit("Who made "), "p_name", F.lit("?")), disambiguation_signature=F.array("p_brand"), subject_label=F.when(F.col("p_size") % 4 > 0, F.col("p_name")).otherwise(""), target_property_label="p_type",
+                       source_metadata=harvest.record(schemas.SOURCE, required_reasoning_clues=F.array(F.concat(F.lit("clue "), F.col("p_size").cast("string")))))
+    payload = F.substring_index(rewrite.prompt(), "Payload:\n", -1)
+    return rows.select("p_partkey", F.array_join(rewrite.anchors(), "|").alias("anchors"), F.get_json_object(payload, "$.canonical_question").alias("asked"), F.get_json_object(payload, "$.target_property").alias("relation"))
+
+
+class _Polite(rewrite.RewriteClient):
+    """Fails for some, names a year for some."""
+
+    def rewrite_question(self, payload):
+        size = int(payload["domain"])
+        if size % 10 == 0:
+            raise ValueError("busy")
+        return {"question": ("Say, " if size % 2 else "In 1999, ") + payload["canonical_question"]}
+
+
+@query("""
+select p_partkey, case when p_size % 10 > 0 and p_size % 2 = 1 then 'Say, who made the ' || p_name || '?' end as rewritten, p_size % 10 > 0 and p_size % 2 = 1 as used,
+  case when p_size % 10 = 0 then 'rewrite_request_failed:ValueError' when p_size % 2 = 0 then 'rewrite_contains_year' end as failure from part""")
+def rewritten_questions(spark, d):
+    """UDF-1, UDF-5, VAL-21: questions rewritten by an injected client; one that fails or breaks a rule leaves the question as it was, and says why."""
+    part = _t(spark, d, "part")
+    rows = _candidates(part, p_partkey="p_partkey", tpl_ord=F.lit(0), cand_ord=F.col("p_partkey").cast("int"), domain=F.col("p_size").cast("string"), canonical_question=F.concat(F.lit("who made the "), "p_name", F.lit("?")), subject_label="p_name",
+                       answer_labels=F.array("p_brand"), answer_type=F.lit("Organization"), reasoning_style=F.lit("single_fact"), validation_flags=harvest.record(schemas.FLAGS, no_year=F.lit(True)))
+    out = rewrite.rewrite(rows, _Polite)
+    return out.select("p_partkey", F.col("rewritten_question").alias("rewritten"), F.col("validation_flags.llm_rewrite_used").alias("used"), F.col("validation_flags.rewrite_failure_reason").alias("failure"))
+
+
+class _ByLength(evaluate.GraderClient):
+    def grade(self, question, answer, prediction):
+        return "CORRECT" if len(prediction) % 2 == 0 else "perhaps"
+
+
+@query(f"""
+with w as (select a.conv_id, a.turn, a.text, {NORM.format("a.text")} as p, {NORM.format("b.third")} as q from conversations a join (select conv_id, split_part(text, ' ', 3) as third from conversations where turn = 0) b on a.conv_id = b.conv_id)
+select conv_id * 1000 + turn as id, case when p = '' or p = 'unknown' then 'NOT_ATTEMPTED' when q <> '' and p = q then 'CORRECT' when q = '' or not (contains(p, q) or contains(q, p)) then 'INCORRECT' when length(text) % 2 = 0 then 'CORRECT' else 'INCORRECT' end as grade from w""")
+def graded_by_client(spark, d):
+    """UDF-6, SEL-12, DSN-9: what rules can't decide is graded by an injected client; an answer that is no grade grants nothing."""
+    c = _t(spark, d, "conversations")
+    answer = c.where("turn = 0").select("conv_id", F.coalesce(F.get(F.split("text", " "), F.lit(2)), F.lit("")).alias("answer"))
+    questions = c.join(answer, "conv_id").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.lit("?").alias("question"), "answer", F.array().cast("array<string>").alias("answer_aliases"), "text")
+    return evaluate.graded(questions.drop("text"), questions.select("id", F.col("text").alias("prediction")), _ByLength).select("id", "grade")
+
+
+@query(_COUPLES + """
+select a as person, 'What was the age gap between the couple in ' || x.c_name || ' and ' || z.c_name || ' at their wedding?' as question, true as no_year, true as no_temporal_expression, true as provenance_complete
+from (select *, row_number() over (partition by a order by o_orderkey, b) as rn from y) join customer x on a = 'C' || x.c_custkey join customer z on b = 'C' || z.c_custkey where rn = 1""")
+def demo_questions(spark, d):
+    """SEL-14, PRJ-12: composed candidates with their question and three flags, whatever the rules say."""
+    from factspark.plans import pipeline
+
+    out = pipeline.demo(_harvested(harvest.wedding_age_gaps_by_person, _couples(spark, d), _WEDDING))
+    return out.select(F.col("subject_qid").alias("person"), F.col("canonical_question").alias("question"), "flags.*")
+
+
+@query("""
+with o as (select n_name as domain, count(*) filter (where c_acctbal > 9500) as a, count(*) filter (where c_acctbal < 0) as r from customer join nation on c_nationkey = n_nationkey where n_nationkey < 20 group by 1),
+s as (select n_name as domain, coalesce(a, 0) as a, coalesce(r, 0) as r from nation left join o on o.domain = n_name)
+select sum(a)::bigint as accepted_total, sum(r)::bigint as rejected_total, count(*) as template_total, coalesce(string_agg(domain, ',' order by domain) filter (where a > 0), '') as accepted_domains, coalesce(string_agg(domain, ',' order by domain) filter (where a = 0 and r > 0), '') as rejected_only,
+  coalesce(string_agg(domain, ',' order by domain) filter (where a = 0 and r = 0), '') as no_result, coalesce(string_agg(domain, ',' order by domain) filter (where a = 0), '') as missing from s""")
+def run_summary(spark, d):
+    """SNK-6, AGG-12, AGG-14, SEL-8: one row on a run: its totals, and the domains by what came of them."""
+    nation = _t(spark, d, "nation").select(F.col("n_name").alias("domain"), "n_nationkey")
+    rows = _t(spark, d, "customer").join(nation.where("n_nationkey < 20"), F.col("c_nationkey") == F.col("n_nationkey"))
+    outcomes = rows.select("domain", F.when(F.col("c_acctbal") > 9500, "accepted").when(F.col("c_acctbal") < 0, "rejected").alias("outcome")).where("outcome is not null")
+    accepted, rejected = outcomes.where("outcome = 'accepted'"), outcomes.where("outcome = 'rejected'")
+    row = report.summary(accepted, rejected, nation, select.template_status(nation, outcomes), "1996")
+    named = {"accepted_domains": "accepted_domains", "rejected_only": "rejected_only_domains", "no_result": "no_result_domains", "missing": "missing_domains"}
+    return row.select("accepted_total", "rejected_total", "template_total", *(F.array_join(c, ",").alias(n) for n, c in named.items()))
+
+
+@query(f"""
+with c as ({_catalog_sql()}), first as (select domain, min(tpl_ord) as tpl_ord from c group by domain)
+select 'asked' as list, tpl_ord, domain from first where domain in ('museum_country', 'wedding_age_gap', 'person_first_degree_university') union all select 'unproven', tpl_ord, domain from c where evidence_status <> 'proven_in_runs'
+union all select activation_status, tpl_ord, domain from c""")
+def template_lists(spark, d):
+    """SRC-7, SRC-11, FLT-12, FLT-15, UDF-4: templates by name (the first of a name), by status, and those that no run has proven."""
+    every = catalog.templates(spark)
+    lists = [("asked", catalog.by_domains(every, ["museum_country", "wedding_age_gap", "person_first_degree_university"])), ("unproven", catalog.unproven(every)), ("active", catalog.active(every)), ("multi_hop_pilot", catalog.multi_hop_pilot(every)), ("date_answer_pilot", catalog.date_answer_pilot(every)), ("blueprint", catalog.blueprint(every))]
+    return graph.union_branches([(df, {"list": F.lit(name)}) for name, df in lists]).select("list", "tpl_ord", "domain")
+
+
+def _service():
+    """A service that knows an entity for every id but those that end in 9, and answers every first request for some with an error."""
+    import json
+
+    asked: set[str] = set()
+
+    def call(url: str, accept: str) -> tuple[int, str]:
+        ids = url.split("ids=")[1].split("&")[0].split("|")
+        if url not in asked and "C7" in ids:
+            asked.add(url)
+            return 503, "busy"
+        return 200, json.dumps({"entities": {i: {"id": i, "labels": {"en": {"value": f"Customer {i}"}}} for i in ids if not i.endswith("9")}})
+
+    return call
+
+
+@query("select 'C' || c_custkey as qid, 'Customer C' || c_custkey as label from customer where c_custkey % 10 <> 9")
+def fetched_documents(spark, d):
+    """SRC-4, SRT-7, AGG-2: ids in requests of up to 50, what isn't stored yet is asked for through an injected transport, again after an error, and the answers are documents."""
+    from factspark.sources import ingest
+    from factspark.storage import stored
+
+    refs = _t(spark, d, "orders").select(_id("C", "o_custkey").alias("qid")).unionByName(_t(spark, d, "customer").select(_id("C", "c_custkey").alias("qid")))
+    requests = stored(ingest.entity_requests(refs, "https://example.org/api"))
+    nothing = spark.createDataFrame([], ingest.ANSWERS)
+    answers = stored(ingest.fetch(ingest.missing(requests, nothing), _service, wait=_no_wait))
+    more = ingest.fetch(ingest.missing(requests, answers), _service, wait=_no_wait)  # nothing is left to ask
+    out = entities_of(ingest.documents_of(answers.unionByName(more)))
+    return out.select("qid", F.col("label_en").alias("label"))
+
+
+def _no_wait(seconds: float) -> None:
+    pass

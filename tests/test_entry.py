@@ -36,14 +36,14 @@ def test_against_sql(spark, name):
     assert got == want
 
 
-@pytest.mark.parametrize("gone", ["llm", "corpus_pipeline.py", "xxhash"])
+@pytest.mark.parametrize("gone", ["llm", "corpus_pipeline.py", "pyarrow"])
 def test_without_the_corpus_operators(tmp_path, gone):
     root = os.path.dirname(os.path.abspath(entry.__file__))
     shutil.copytree(f"{root}/factspark", tmp_path / "factspark", ignore=shutil.ignore_patterns(gone, "__pycache__"))
     for name in ("__spark_entry__.py", "corpus_pipeline.py"):
         if name != gone and os.path.exists(f"{root}/{name}"):
             shutil.copy(f"{root}/{name}", tmp_path)
-    block = "import sys; sys.modules['xxhash'] = None; " if gone == "xxhash" else ""
+    block = "import sys; sys.modules['pyarrow'] = None; " if gone == "pyarrow" else ""
     code = block + "import __spark_entry__ as e; q = e.queries(); assert q and not any(x[:2] == 'op' and x[2].isdigit() or x == 'pipeline' for x in q); assert set(e.oracle_sql()) <= set(q)"
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=120)
