@@ -103,8 +103,9 @@ def single_facts(tables: dict[str, DataFrame], closure: DataFrame, templates: Da
     own = templates.where("reasoning_style = 'single_fact'").select(*_TEMPLATE, "exact_instance_only", "retrieval_limit")
     types = own.select(F.col("subject_type_qid").alias("root"), F.col("exact_instance_only").alias("exact")).distinct()
     typed = graph.instances(statements, types, closure).join(own, (F.col("root") == F.col("subject_type_qid")) & (F.col("exact") == F.col("exact_instance_only")))
-    dated = _times(statements, F.col("pid").isin(_values(own, "date_property_pid")), "date").where(_within("date", settings)).withColumnRenamed("date_pid", "date_property_pid")
-    answers = graph.truthy(statements.where(F.col("pid").isin(_values(own, "target_property_pid"))))
+    date_pids, target_pids = _values(own, "date_property_pid", "target_property_pid")
+    dated = _times(statements, F.col("pid").isin(date_pids), "date").where(_within("date", settings)).withColumnRenamed("date_pid", "date_property_pid")
+    answers = graph.truthy(statements.where(F.col("pid").isin(target_pids)))
     answers = answers.select(
         "subject", F.col("pid").alias("target_property_pid"), F.col("value_id").alias("answer_id"), dates.signed_day(F.col("value_time")).alias("answer_day"),
         F.coalesce("value_id", F.concat_ws(":", F.lit("VALUE"), F.col("value_kind"), F.coalesce("value_time", "value_text"))).alias("answer_key"),
@@ -149,9 +150,10 @@ def single_facts(tables: dict[str, DataFrame], closure: DataFrame, templates: Da
     )
 
 
-def _values(templates: DataFrame, column: str) -> list[str]:
-    """The different values of a catalog column (a handful of property ids)."""
-    return [r[0] for r in templates.select(column).distinct().collect()]
+def _values(templates: DataFrame, *columns: str) -> list[list[str]]:
+    """The different values of some catalog columns (a handful of property ids), by one job."""
+    row = templates.agg(*(F.collect_set(c) for c in columns)).first()
+    return [sorted(x) for x in row]
 
 
 def _label(entities: DataFrame, rows: DataFrame, id_col: str, name: str, fallback: bool = True) -> DataFrame:
