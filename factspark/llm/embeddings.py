@@ -35,6 +35,8 @@ BLOCK_ROWS = 2048
 BROADCAST_LISTS = 100_000
 #: The sample that pivots are fitted on: for each of so many numbers of components (those that most vectors have), so many components in all.
 SAMPLE_DIMS, SAMPLE_COMPONENTS = 8, 1 << 20
+#: Unit vectors whose mean is this long are a cone.
+CONE = 0.5
 _SMALL = 48
 _ROWS = 2048
 #: Cosines that are this close to the threshold are settled by an exact sum.
@@ -77,11 +79,13 @@ class Marks:
 
 
 def fit_marks(sample: np.ndarray, most: int) -> Marks:
-    """Marks from the sample's unit vectors; a sample of equal vectors is looked at from the origin."""
+    """Marks from the sample's unit vectors, seen from their mean if they lie in a cone (a mean of length ``CONE`` or more), else from the origin."""
     centre = sample.mean(0)
+    if centre @ centre < CONE * CONE:
+        centre = np.zeros_like(centre)
     seen = sample - centre
     norm = np.sqrt((seen * seen).sum(1))
-    if norm.max() < 1e-9:
+    if norm.max() < 1e-9:  # all vectors are equal
         centre, seen, norm = np.zeros_like(centre), sample, np.ones(len(sample))
     seen, norm = seen[norm >= 1e-9], norm[norm >= 1e-9]
     return Marks(centre, choose_pivots(seen / norm[:, None], most))
