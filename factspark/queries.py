@@ -1026,13 +1026,13 @@ def judged_candidates(spark, d):
     from factspark.plans import pipeline
 
     orders, customers = _t(spark, d, "orders"), _t(spark, d, "customer")
-    k, qid = F.col("o_orderkey"), lambda base, c: F.concat(F.lit("Q"), (F.lit(base) + F.col(c)).cast("string"))
-    subject, answer = qid(1_000_000, "o_orderkey"), qid(5_000_000, "o_custkey")
+    # Ids of customers begin with a zero, which no number does: whatever the keys, none is an order's.
+    k, subject, answer = F.col("o_orderkey"), F.concat(F.lit("Q"), (F.lit(1_000_000) + F.col("o_orderkey")).cast("string")), _id("Q0", "o_custkey")
     st = _statement(orders, subject, "P31", item=F.lit("Q77")).unionByName(_statement(orders, subject, "P577", time="o_orderdate")).unionByName(_statement(orders, subject, "P50", item=answer))
     st = st.unionByName(_statement(orders.where(k % 17 == 0).withColumn("o_custkey", F.col("o_custkey") + 1), subject, "P50", item=answer, order=F.lit(1)))
     labelled = orders.withColumn("label", F.when(k % 7 == 0, "").when(k % 11 == 0, "Order 1996").when(k % 13 == 0, "Twin").otherwise(F.concat(F.lit("Order "), k.cast("string"))))
     named = customers.withColumn("label", F.when(F.col("c_custkey") % 19 == 0, "").otherwise(F.col("c_name")))
-    entities = _entities((labelled, subject, "label"), (named, qid(5_000_000, "c_custkey"), "label"))
+    entities = _entities((labelled, subject, "label"), (named, _id("Q0", "c_custkey"), "label"))
     tables = {"statements": st, "entities": entities, "names": names_of(entities)}
     templates = catalog.templates(spark, "[active]\norders | Orders | Person | f | Q77 | order | P577 | P50 | author | Who placed the {subject_kind} {descriptor}? | exact")
     settings = Settings("1996", run_date="1997-06-30", harvest_limit_per_template=1 << 30, over_fetch=1 << 20)

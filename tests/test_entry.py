@@ -36,6 +36,20 @@ def test_against_sql(spark, name):
     assert got == want
 
 
+def test_judged_candidates_with_keys_of_any_size(spark, tmp_path):
+    """Keys as in larger tables: those of orders reach numbers far above those of customers, and some are alike."""
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    orders = "select 4000000 + i as o_orderkey, (i * 7 % 40)::bigint as o_custkey, timestamp '1996-02-01' + to_days((i % 9)::int) as o_orderdate from range(120) r(i) union all select i, i % 40, timestamp '1997-06-01' from range(40) r(i)"
+    customers = "select i as c_custkey, 'Customer ' || i as c_name from range(40) r(i)"
+    for name, rows in (("orders", orders), ("customer", customers)):
+        con.execute(f"copy ({rows}) to '{tmp_path}/{name}.parquet' (format parquet)")
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet'")
+    df = queries.QUERIES["judged_candidates"](spark, str(tmp_path))
+    want = con.execute(f"select {', '.join(df.columns)} from ({queries.SQL['judged_candidates']})").fetchall()
+    assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, want)) and len(want) > 100
+
+
 @pytest.mark.parametrize("gone", ["llm", "corpus_pipeline.py", "pyarrow"])
 def test_without_the_corpus_operators(tmp_path, gone):
     root = os.path.dirname(os.path.abspath(entry.__file__))
